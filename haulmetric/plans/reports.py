@@ -82,6 +82,13 @@ CONSOLE_TEMPLATES = {
 
 
 def run_sql(spark: SparkSession, text: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """Any SQL over the layers, whose views are refreshed first."""
+    """Any SQL over the stored layers, whose views are refreshed first."""
     register_layers(spark, settings.layer_paths(), table_format=settings.table_format)
     return spark.sql(text)
+
+
+def run_sql_on(text: str, **views: DataFrame) -> DataFrame:
+    """The same over given frames, each registered under its keyword."""
+    for name, frame in views.items():
+        frame.createOrReplaceTempView(name)
+    return next(iter(views.values())).sparkSession.sql(text)

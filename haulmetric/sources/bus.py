@@ -47,5 +47,45 @@ def open_bus_files(spark: SparkSession, path: str, settings: Settings = DEFAULTS
 
 
 def encode_payload(*fields: Column | str) -> Column:
-    """One message body: the fields as a UTF-8 JSON object."""
+    """One message body: the fields as a UTF-8 JSON object, without those that are NULL."""
     return F.to_json(F.struct(*fields)).cast("binary")
+
+
+def nested_body(
+    event_id: Column, time_text: Column, origin: Column, destination: Column
+) -> Column:
+    """The nested body of a row of readings; the inverse of `decode_nested`."""
+    return encode_payload(
+        event_id.alias("eventId"),
+        F.col("vehicle_id").alias("vehicleId"),
+        time_text.alias("timestamp"),
+        F.struct(
+            "latitude", "longitude", origin.alias("origin"), destination.alias("destination")
+        ).alias("routeContext"),
+        F.struct(
+            F.col("ambient_temp").alias("ambientTempC"),
+            F.col("cargo_temp").alias("cargoContainerTempC"),
+            F.col("humidity").alias("relativeHumidityPct"),
+            F.col("vibration").alias("vibrationG"),
+            F.col("door_status").alias("doorStatus"),
+        ).alias("telemetry"),
+    )
+
+
+def encode_nested(
+    events: DataFrame,
+    *,
+    event_id: Column | None = None,
+    origin: Column | None = None,
+    destination: Column | None = None,
+    settings: Settings = DEFAULTS,
+) -> DataFrame:
+    """Clean events as message bodies, ready for a bus sink: one binary `value` column."""
+    none = F.lit(None).cast("string")
+    body = nested_body(
+        F.uuid() if event_id is None else event_id,
+        F.date_format("timestamp", settings.time_patterns[0]),
+        none if origin is None else origin,
+        none if destination is None else destination,
+    )
+    return events.select(body.alias("value"))

@@ -7,15 +7,13 @@ vehicle, a time in another pattern, or a body that is not JSON.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulmetric.operators.decode import decode_nested
 from haulmetric.operators.quality import first_arrival, is_valid
-from haulmetric.sources.bus import encode_payload
+from haulmetric.sources.bus import encode_payload, nested_body
 
 TOPIC = "fleet-telemetry"
 EPOCH_MICROS = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
@@ -71,7 +69,7 @@ def readings(events: DataFrame) -> DataFrame:
     )
 
 
-def _envelope(rows: DataFrame, body: Column, carry: Sequence[str] = ()) -> DataFrame:
+def _envelope(rows: DataFrame, body: Column) -> DataFrame:
     return rows.select(
         F.lit(None).cast("binary").alias("key"),
         body.alias("value"),
@@ -80,28 +78,6 @@ def _envelope(rows: DataFrame, body: Column, carry: Sequence[str] = ()) -> DataF
         F.col("event_id").alias("offset"),
         F.col("broker_time").alias("timestamp"),
         F.lit(0).alias("timestampType"),
-        *carry,
-    )
-
-
-def _nested_body(time_text: Column) -> Column:
-    return encode_payload(
-        F.concat(F.lit("evt-"), F.col("event_id").cast("string")).alias("eventId"),
-        F.col("vehicle_id").alias("vehicleId"),
-        time_text.alias("timestamp"),
-        F.struct(
-            "latitude",
-            "longitude",
-            F.lit("North Depot").alias("origin"),
-            F.lit("South Hub").alias("destination"),
-        ).alias("routeContext"),
-        F.struct(
-            F.col("ambient_temp").alias("ambientTempC"),
-            F.col("cargo_temp").alias("cargoContainerTempC"),
-            F.col("humidity").alias("relativeHumidityPct"),
-            F.col("vibration").alias("vibrationG"),
-            F.col("door_status").alias("doorStatus"),
-        ).alias("telemetry"),
     )
 
 
@@ -109,7 +85,12 @@ def nested_envelope(events: DataFrame) -> DataFrame:
     """Envelopes with nested bodies, with the three kinds of unusable rows."""
     plain = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")
     iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    body = _nested_body(F.when(_every(101), iso).otherwise(plain))
+    body = nested_body(
+        F.concat(F.lit("evt-"), F.col("event_id").cast("string")),
+        F.when(_every(101), iso).otherwise(plain),
+        F.lit("North Depot"),
+        F.lit("South Hub"),
+    )
     broken = F.lit("{bad json").cast("binary")
     return _envelope(readings(events), F.when(_every(89), broken).otherwise(body))
 
