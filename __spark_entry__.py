@@ -135,7 +135,7 @@ def condensation_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- fleet status: over the newest events, and over all of them --------------------------
 
 
-def _status(source: Query, suffix: str) -> dict[str, Query]:
+def _status(source: Query, suffix: str, *, sample: bool) -> dict[str, Query]:
     def over_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
         return lambda spark, sf_dir: operator(source(spark, sf_dir))
 
@@ -153,8 +153,12 @@ def _status(source: Query, suffix: str) -> dict[str, Query]:
         "alert_feed": over_latest(fleet.alert_feed),
         "route_trail": over_events(trail),
         "map_center": over_events(lambda events: fleet.map_center(trail(events))),
-        "timeline_cargo": over_events(lambda events: fleet.timeline(events, "cargo_temp")),
-        "timeline_vibration": over_events(lambda events: fleet.timeline(events, "vibration")),
+        "timeline_cargo": over_events(
+            lambda events: fleet.timeline(events, "cargo_temp", ordered=sample)
+        ),
+        "timeline_vibration": over_events(
+            lambda events: fleet.timeline(events, "vibration", ordered=sample)
+        ),
     }
     return {name + suffix: query for name, query in found.items()}
 
@@ -481,8 +485,8 @@ def queries() -> dict[str, Query]:
         "stream_late_drop": stream_late_drop,
         "layers_end_to_end": layers_end_to_end,
     }
-    registered.update(_status(_recent, ""))
-    registered.update(_status(_silver, "_all"))
+    registered.update(_status(_recent, "", sample=True))
+    registered.update(_status(_silver, "_all", sample=False))
     return registered
 
 

@@ -174,6 +174,7 @@ def map_center(trail: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-def timeline(events: DataFrame, metric: str) -> DataFrame:
-    """One reading per vehicle over time, in plotting order."""
-    return events.select("timestamp", "vehicle_id", metric).orderBy("timestamp", "vehicle_id")
+def timeline(events: DataFrame, metric: str, *, ordered: bool = True) -> DataFrame:
+    """One reading per vehicle over time; plotting order is for samples, not whole tables."""
+    series = events.select("timestamp", "vehicle_id", metric)
+    return series.orderBy("timestamp", "vehicle_id") if ordered else series

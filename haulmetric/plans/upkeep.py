@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from haulmetric.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS
-from haulmetric.session import session_conf
+from haulmetric.session import session_conf, storage_conf
 from haulmetric.settings import DEFAULTS, Settings
 from haulmetric.sources.tables import read_table
 
@@ -26,7 +26,9 @@ def stored_bytes(table: DataFrame) -> int:
     files = table.select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
     ).distinct()
-    return files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    # No data is read, so a task can take any number of files: as many tasks as cores do.
+    with session_conf(table.sparkSession, {"spark.sql.files.maxPartitionBytes": str(1 << 50)}):
+        return files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
 
 
 def compact(
@@ -46,7 +48,7 @@ def compact(
         "spark.sql.files.openCostInBytes": "0",
         "spark.sql.files.minPartitionNum": "1",
     }
-    with session_conf(spark, packing):
+    with session_conf(spark, storage_conf() | packing):
         table = read_table(spark, source, schema, settings.table_format)
         table.write.format(settings.table_format).save(target)
 
@@ -76,7 +78,8 @@ def cluster_by_time(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(target)
+    with session_conf(spark, storage_conf()):
+        writer.save(target)
 
 
 def retention_tiers(

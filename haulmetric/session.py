@@ -52,6 +52,12 @@ def session_conf(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+def storage_conf() -> dict[str, str]:
+    """Options every write needs: Spark's default INT96 times carry no min/max statistics,
+    and without those no reader can skip files or row groups by time."""
+    return {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
+
+
 def state_conf(settings: Settings = DEFAULTS) -> dict[str, str]:
     """Options a stateful query freezes into its checkpoint at the first start."""
     values = {}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from haulmetric.schemas import LAYER_SCHEMAS
+from haulmetric.session import session_conf, storage_conf
 from haulmetric.settings import DEFAULTS, Settings
 
 
@@ -48,7 +49,8 @@ def write_table(
     writer = frame.write.mode(mode).format(table_format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    with session_conf(frame.sparkSession, storage_conf()):
+        writer.save(path)
 
 
 def register_layers(

@@ -77,6 +77,8 @@ def start_all(bus: DataFrame, settings: Settings = DEFAULTS) -> list[StreamingQu
     start once with `run_once`. Then wait with `spark.streams.awaitAnyTermination()`.
     """
     spark = bus.sparkSession
+    # Queries that ended earlier in this session would end that wait at once.
+    spark.streams.resetTerminated()
     return [
         start_bronze(bus, settings, continuous=True),
         start_silver(spark, settings, continuous=True),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from haulmetric.session import session_conf, state_conf
+from haulmetric.session import session_conf, state_conf, storage_conf
 from haulmetric.settings import DEFAULTS, Settings
 
 
@@ -52,7 +52,7 @@ def append_to_path(
         continuous=continuous, name=name,
     )
     # A query copies the session's options when it starts.
-    with session_conf(frame.sparkSession, state_conf(settings)):
+    with session_conf(frame.sparkSession, storage_conf() | state_conf(settings)):
         return writer.start(path)
 
 
@@ -71,7 +71,7 @@ def append_to_table(
         frame, checkpoint, settings=settings, partition_by=partition_by,
         continuous=continuous, name=name,
     )
-    with session_conf(frame.sparkSession, state_conf(settings)):
+    with session_conf(frame.sparkSession, storage_conf() | state_conf(settings)):
         return writer.toTable(table)
 
 

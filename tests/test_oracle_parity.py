@@ -1,0 +1,49 @@
+"""Every registered query against its DuckDB oracle."""
+
+import __spark_entry__ as entry
+import parity
+import pytest
+
+ORACLES = entry.oracle_sql()
+QUERIES = entry.queries()
+
+# Files and their times differ from run to run.
+NO_ORACLE = {"layer_history"}
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    return parity.connect(sf_dir)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) - set(ORACLES) == NO_ORACLE
+    assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_oracle(spark, sf_dir, duck, name):
+    assert parity.differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
+
+
+def test_layer_history(spark, sf_dir):
+    rows = QUERIES["layer_history"](spark, sf_dir).collect()
+    assert 0 < len(rows) <= 10
+    assert [r.written_at for r in rows] == sorted((r.written_at for r in rows), reverse=True)
+    assert all(r.rows > 0 and r.file_size > 0 for r in rows)
+
+
+def test_entry_runs_over_the_small_tables(spark):
+    frame = entry.entry(spark)
+    assert frame.columns[:3] == ["window_start", "window_end", "vehicle_id"]
+    assert frame.count() > 0
+
+
+def test_result_does_not_depend_on_partitioning(spark, sf_dir):
+    from haulmetric.plans.layers import build_gold, build_silver
+    from haulmetric.sources import fixtures
+
+    events = fixtures.read_events(spark, sf_dir)
+    one = build_gold(build_silver(fixtures.nested_envelope(events.repartition(1))))
+    many = build_gold(build_silver(fixtures.nested_envelope(events.repartition(13))))
+    assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
