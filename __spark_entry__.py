@@ -235,6 +235,13 @@ def layer_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer_history(spark.read.schema(SILVER).parquet(settings.silver_path))
 
 
+def bronze_latest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest envelopes of a stored table, without reading the bodies of the others."""
+    path = scratch_dir(spark, "bronze")
+    write_table(_bronze(spark, sf_dir), path)
+    return newest.bronze_latest(read_table(spark, path, ENVELOPE), by_cutoff=True)
+
+
 def silver_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "silver")
     write_table(_silver(spark, sf_dir), path, partition_by=LAYER_PARTITIONS["silver"])
@@ -470,6 +477,7 @@ def queries() -> dict[str, Query]:
         "bootstrap_tables": bootstrap_tables_query,
         "adhoc_sql": adhoc_sql,
         "layer_history": layer_history_query,
+        "bronze_latest_stored": bronze_latest_stored,
         "silver_partition_counts": silver_partition_counts,
         "compact_layer": compact_layer,
         "cluster_by_time": cluster_by_time,

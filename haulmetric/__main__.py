@@ -60,7 +60,7 @@ def main() -> None:
         reports = {"bronze": bronze_latest, "silver": silver_latest, "gold": gold_latest}
         for layer, path in settings.layer_paths().items():
             table = read_table(spark, path, LAYER_SCHEMAS[layer], settings.table_format)
-            reports[layer](table).show(truncate=False)
+            reports[layer](table, by_cutoff=True).show(truncate=False)
     else:
         run_sql(spark, arguments.text, settings).show(truncate=False)
     spark.stop()

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmetric.functions.numeric import exact_mean, mean_of, present, rounded, scaled
+from haulmetric.functions.numeric import exact_mean, mean_of, scaled
 from haulmetric.functions.predicates import DOOR_OPEN, event_anomaly
 from haulmetric.functions.text import (
     anomaly_message,
@@ -32,25 +32,17 @@ def _state_with_counts(events: DataFrame) -> DataFrame:
     when an aggregation buffer holds a string. Door status is therefore a grouping key of
     the first level and becomes a value only in the second, over a few rows per vehicle.
     """
-    def known(name: str) -> Column:
-        return F.col(name) if name == "condensation_risk" else present(F.col(name))
-
-    def known_at(name: str) -> Column:
-        return F.when(known(name).isNotNull(), F.col("timestamp"))
-
-    first = [F.count(F.lit(1)).alias("events"), F.max("timestamp").alias("timestamp")]
-    second = [F.sum("events").alias("events"), F.max("timestamp").alias("timestamp")]
+    first = ["count(*) AS events", "max(timestamp) AS timestamp"]
+    second = ["sum(events) AS events", "max(timestamp) AS timestamp"]
     for name in _STATE:
-        first += [
-            F.max_by(F.col(name), known_at(name)).alias(name),
-            F.max(known_at(name)).alias(f"{name}_at"),
-        ]
-        second.append(F.max_by(name, f"{name}_at").alias(name))
-    door_at = F.when(F.col("door_status").isNotNull(), F.col("timestamp"))
-    second.append(F.max_by(F.col("door_status"), door_at).alias("door_status"))
-
-    by_door = events.groupBy("vehicle_id", "door_status").agg(*first)
-    return by_door.groupBy("vehicle_id").agg(*second)
+        reading = name if name == "condensation_risk" else f"nanvl({name}, null)"
+        known_at = f"if({reading} IS NULL, null, timestamp)"
+        first += [f"max_by({name}, {known_at}) AS {name}", f"max({known_at}) AS {name}_at"]
+        second.append(f"max_by({name}, {name}_at) AS {name}")
+    second.append("max_by(door_status, if(door_status IS NULL, null, timestamp)) AS door_status")
+
+    by_door = events.groupBy("vehicle_id", "door_status").agg(*map(F.expr, first))
+    return by_door.groupBy("vehicle_id").agg(*map(F.expr, second))
 
 
 def latest_per_vehicle(events: DataFrame) -> DataFrame:

@@ -63,12 +63,16 @@ def schema_explorer(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
     return listing
 
 
-def layer_history(table: DataFrame, k: int = 10) -> DataFrame:
+def layer_history(table: DataFrame, k: int = 10, since: str | None = None) -> DataFrame:
     """The newest k files of a table: when each was written, its size and its rows.
 
     Takes the frame a table was read into. Only the hidden metadata column is used, so the
-    scan reads file footers and no data.
+    scan reads file footers and no data; with `since`, older files are not even opened.
     """
+    if since:
+        table = table.filter(
+            F.col("_metadata.file_modification_time") >= F.lit(since).cast("timestamp")
+        )
     files = table.groupBy(
         F.col("_metadata.file_modification_time").alias("written_at"),
         F.col("_metadata.file_path").alias("file_path"),

@@ -25,6 +25,8 @@ def build_session(
         .config("spark.sql.session.timeZone", settings.time_zone)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Call sites for every column expression cost more driver time than the expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

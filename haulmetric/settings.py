@@ -40,6 +40,7 @@ class Settings:
     # streaming execution
     trigger_interval: str = "5 seconds"
     max_files_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = None
     state_partitions: int | None = None
     state_store: str | None = "rocksdb"
     # One (vehicle, time) key can be most of a micro-batch; see operators.quality.

@@ -12,11 +12,14 @@ from haulmetric.settings import DEFAULTS, Settings
 
 
 def bus_options(settings: Settings = DEFAULTS) -> dict[str, str]:
-    return {
+    options = {
         "kafka.bootstrap.servers": settings.bootstrap_servers,
         "subscribe": settings.topic,
         "startingOffsets": settings.starting_offsets,
     }
+    if settings.max_offsets_per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(settings.max_offsets_per_trigger)
+    return options
 
 
 def open_bus(

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from haulmetric.operators.decode import decode_nested
 from haulmetric.operators.quality import first_arrival, is_valid
-from haulmetric.sources.bus import encode_payload, nested_body
+from haulmetric.sources.bus import nested_body
+from haulmetric.sources.tables import spread
 
 TOPIC = "fleet-telemetry"
 EPOCH_MICROS = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
@@ -33,81 +34,73 @@ EVENTS = T.StructType(
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-def _every(step: int) -> Column:
-    return F.col("event_id") % step == 0
+# Columns as SQL: one call to the JVM each, where a chain of column functions makes dozens.
+_K = "cast(get_json_object(props, '$.k') AS int)"
+_SECOND = (
+    f"{EPOCH_MICROS // 1_000_000} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_MICROS})"
+    f" div {TIME_COMPRESSION * 1_000_000}"
+)
+_VEHICLE = "concat('TRK-CHI-', lpad(cast(user_id % 5 + 1 AS string), 4, '0'))"
 
 
 def readings(events: DataFrame) -> DataFrame:
     """One row of typed sensor values per event; `event_time` has whole seconds."""
-    second = F.expr(
-        f"{EPOCH_MICROS // 1_000_000}"
-        f" + (unix_micros(cast(ts as timestamp)) - {EPOCH_MICROS})"
-        f" div {TIME_COMPRESSION * 1_000_000}"
-    )
-    k = F.get_json_object("props", "$.k").cast("int")
-    located = ~_every(53)
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("broker_time"),
-        F.timestamp_seconds(second).alias("event_time"),
-        F.when(
-            ~_every(97),
-            F.concat(F.lit("TRK-CHI-"), F.lpad((F.col("user_id") % 5 + 1).cast("string"), 4, "0")),
-        ).alias("vehicle_id"),
-        (F.lit(15.0) + k * F.lit(0.25)).alias("ambient_temp"),
-        (F.lit(1.5) + F.floor(F.col("value") / 5) * F.lit(0.25)).alias("cargo_temp"),
-        (F.lit(10) + F.col("event_id") * 7 % 86).cast("double").alias("humidity"),
-        (F.col("event_id") * 7 % 26 * F.lit(0.125)).alias("vibration"),
-        F.when((F.col("event_type") == "error") & (k < 10), "OPEN")
-        .otherwise("CLOSED")
-        .alias("door_status"),
-        F.when(located, F.lit(41.5) + F.col("event_id") % 512 / F.lit(1024.0)).alias("latitude"),
-        F.when(located, F.lit(-88.25) + F.col("event_id") % 256 / F.lit(512.0)).alias("longitude"),
+        "cast(ts AS timestamp) AS broker_time",
+        f"timestamp_seconds({_SECOND}) AS event_time",
+        f"if(event_id % 97 = 0, null, {_VEHICLE}) AS vehicle_id",
+        f"15.0D + {_K} * 0.25D AS ambient_temp",
+        "1.5D + floor(value / 5) * 0.25D AS cargo_temp",
+        "cast(10 + event_id * 7 % 86 AS double) AS humidity",
+        "event_id * 7 % 26 * 0.125D AS vibration",
+        f"if(event_type = 'error' AND {_K} < 10, 'OPEN', 'CLOSED') AS door_status",
+        "if(event_id % 53 = 0, null, 41.5D + event_id % 512 / 1024.0D) AS latitude",
+        "if(event_id % 53 = 0, null, -88.25D + event_id % 256 / 512.0D) AS longitude",
     )
 
 
 def _envelope(rows: DataFrame, body: Column) -> DataFrame:
-    return rows.select(
-        F.lit(None).cast("binary").alias("key"),
-        body.alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("broker_time").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+    """Wrap bodies; some are replaced by one that is not JSON."""
+    return rows.withColumn("_body", body).selectExpr(
+        "cast(null AS binary) AS key",
+        "if(event_id % 89 = 0, cast('{bad json' AS binary), _body) AS value",
+        f"'{TOPIC}' AS topic",
+        "0 AS partition",
+        "event_id AS offset",
+        "broker_time AS timestamp",
+        "0 AS timestampType",
     )
 
 
 def nested_envelope(events: DataFrame) -> DataFrame:
     """Envelopes with nested bodies, with the three kinds of unusable rows."""
-    plain = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")
-    iso = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    time_text = F.expr(
+        """date_format(event_time, if(event_id % 101 = 0,
+           "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd HH:mm:ss"))"""
+    )
     body = nested_body(
-        F.concat(F.lit("evt-"), F.col("event_id").cast("string")),
-        F.when(_every(101), iso).otherwise(plain),
-        F.lit("North Depot"),
-        F.lit("South Hub"),
+        F.expr("concat('evt-', event_id)"), time_text, F.lit("North Depot"), F.lit("South Hub")
     )
-    broken = F.lit("{bad json").cast("binary")
-    return _envelope(readings(events), F.when(_every(89), broken).otherwise(body))
+    return _envelope(readings(events), body)
 
 
 def flat_envelope(events: DataFrame) -> DataFrame:
     """Envelopes with the older flat bodies; their times are ISO-8601 with `Z`."""
-    body = encode_payload(
-        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("Timestamp"),
-        F.col("vehicle_id").alias("Vehicle_ID"),
-        F.col("ambient_temp").alias("Ambient_Temp"),
-        F.col("cargo_temp").alias("Cargo_Temp"),
-        F.col("humidity").alias("Humidity"),
-        F.col("vibration").alias("Vibration"),
-        F.col("door_status").alias("Door_Status"),
+    body = F.expr(
+        """cast(to_json(named_struct(
+             'Timestamp', date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+             'Vehicle_ID', vehicle_id,
+             'Ambient_Temp', ambient_temp,
+             'Cargo_Temp', cargo_temp,
+             'Humidity', humidity,
+             'Vibration', vibration,
+             'Door_Status', door_status)) AS binary)"""
     )
-    broken = F.lit("{bad json").cast("binary")
-    return _envelope(readings(events), F.when(_every(89), broken).otherwise(body))
+    return _envelope(readings(events), body)
 
 
 def redelivered_envelope(events: DataFrame) -> DataFrame:

@@ -434,6 +434,7 @@ SELECT DISTINCT v AS vehicle_id, t AS "timestamp" FROM valid""",
         "stream_late_drop": closed_rows,
         "layers_end_to_end": closed_rows,
     }
+    texts["bronze_latest_stored"] = texts["bronze_latest"]
     texts.update(_status_queries("recent", RECENT, ""))
     texts.update(_status_queries("silver", SILVER, "_all"))
     return texts

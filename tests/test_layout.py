@@ -16,7 +16,7 @@ from haulmetric.schemas import ENVELOPE, LAYER_SCHEMAS, SILVER
 from haulmetric.session import scratch_dir, session_conf
 from haulmetric.settings import DEFAULTS
 from haulmetric.sources import fixtures
-from haulmetric.sources.tables import read_table, register_layers, write_table
+from haulmetric.sources.tables import read_table, register_layers, spread, write_table
 
 
 @pytest.fixture(scope="module")
@@ -195,6 +195,18 @@ def test_history_lists_every_file_once(spark, silver, tmp_path):
     assert len(layer_history(spark.read.schema(SILVER).parquet(f"{tmp_path}/t"), k=2).collect()) == 2
 
 
+def test_history_since_skips_older_files(spark, silver, tmp_path):
+    import os
+
+    for _ in range(2):
+        silver.coalesce(1).write.mode("append").parquet(f"{tmp_path}/t")
+    first = data_files(tmp_path / "t")[0]
+    os.utime(first, (1_600_000_000, 1_600_000_000))
+    table = spark.read.schema(SILVER).parquet(f"{tmp_path}/t")
+    assert layer_history(table).count() == 2
+    assert layer_history(table, since="2021-01-01").count() == 1
+
+
 def test_partition_offsets(spark):
     rows = [(None, b"x", "t", p, o, at(0), 0) for p, o in ((0, 5), (0, 9), (1, 3))]
     found = partition_offsets(spark.createDataFrame(rows, ENVELOPE)).collect()
@@ -205,3 +217,13 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and a.startswith(shared) and b.startswith(shared)
+
+
+def test_only_scans_of_few_splits_are_spread(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    assert spread(one).rdd.getNumPartitions() == cores
+    assert spread(one, max_splits=0) is one
+    many = spark.range(100, numPartitions=cores)
+    assert spread(many) is many

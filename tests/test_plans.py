@@ -18,7 +18,7 @@ from haulmetric.sources.tables import read_table, write_table
 
 # These run streams or write tables before they return a frame.
 STORED = {
-    "register_layers", "schema_explorer", "bootstrap_tables", "adhoc_sql", "layer_history",
+    "register_layers", "bronze_latest_stored", "schema_explorer", "bootstrap_tables", "adhoc_sql", "layer_history",
     "silver_partition_counts", "compact_layer", "cluster_by_time", "maintain_layers",
     "ingest_envelope", "bronze_stream_append", "stream_to_table", "stream_dedup_keys",
     "stream_silver", "stream_window_metrics", "stream_late_drop", "layers_end_to_end",
@@ -99,6 +99,24 @@ def test_newest_reports_are_top_k_with_late_projection(bronze, report):
     assert "Project [" not in plan
 
 
+def test_newest_rows_of_a_stored_table_are_found_by_a_pushed_cutoff(bronze):
+    frame = newest.bronze_latest(bronze, by_cutoff=True)
+    plan = plan_of(frame)
+    assert "GreaterThanOrEqual(timestamp,ScalarSubquery" in plan
+    assert "ReadSchema: struct<timestamp:timestamp>" in plan
+    assert frame.collect() == newest.bronze_latest(bronze).collect()
+    for k in (1, 7, 100_000):
+        plain = newest.newest(bronze, k, "timestamp", newest.BRONZE_TIES)
+        cut = newest.newest(bronze, k, "timestamp", newest.BRONZE_TIES, by_cutoff=True)
+        assert cut.collect() == plain.collect()
+
+
+def test_newest_by_cutoff_with_ties_and_few_rows(silver):
+    for k in (3, 10**6):
+        plain = newest.silver_recent(silver, k).collect()
+        assert newest.silver_recent(silver, k, by_cutoff=True).collect() == plain
+
+
 def test_fleet_reports_over_a_sample_start_from_a_top_k(silver):
     plan = plan_of(fleet.fleet_kpis(newest.silver_recent(silver)))
     assert "TakeOrderedAndProject(limit=500" in plan
