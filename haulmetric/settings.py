@@ -46,6 +46,9 @@ class Settings:
     # One (vehicle, time) key can be most of a micro-batch; see operators.quality.
     dedup_salts: int = 256
 
+    # Tasks that write rows of one partition value in a micro-batch; see streaming.sinks.
+    partition_writers: int = 16
+
     # thresholds; every comparison is strict
     cargo_limit: float = 8.0
     vibration_limit: float = 3.0

@@ -5,12 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from haulmetric.session import session_conf, state_conf, storage_conf
 from haulmetric.settings import DEFAULTS, Settings
 
 
+def gathered(frame: DataFrame, partition_by: Sequence[str], writers: int) -> DataFrame:
+    """Bring the rows of each partition value to a few tasks before a partitioned sink.
+
+    Otherwise every task of the stage before it opens a file per value: tasks x values small
+    files in each micro-batch. A value still has up to `writers` tasks, so that one with much
+    of the batch is not written by a single one. (Batch writes leave this to adaptive
+    execution, which stateful streams do not have.)
+    """
+    share = F.pmod(F.xxhash64(*frame.columns), F.lit(writers))
+    return frame.repartition(*partition_by, share)
+
+
 def _writer(
     frame: DataFrame,
     checkpoint: str,
@@ -20,6 +33,8 @@ def _writer(
     continuous: bool,
     name: str | None,
 ) -> DataStreamWriter:
+    if partition_by:
+        frame = gathered(frame, partition_by, settings.partition_writers)
     writer = (
         frame.writeStream.format(settings.table_format)
         .outputMode("append")

@@ -163,6 +163,22 @@ def test_three_streams_side_by_side(spark, tmp_path):
     assert read_table(spark, settings.gold_path, GOLD).count() > 0
 
 
+def test_partitioned_sink_bounds_the_files_per_vehicle(spark, tmp_path):
+    bodies = [body(vehicle=f"V-{s % 2}", seconds=s // 2) for s in range(2000)]
+    envelope(spark, bodies).write.parquet(f"{tmp_path}/in")
+    settings = replace(DEFAULTS, state_partitions=40, partition_writers=3, state_store=None,
+                       dedup_salts=1)
+    stream = silver_stream(open_bus_files(spark, f"{tmp_path}/in"), settings)
+    drain(append_to_path(stream, f"{tmp_path}/out", f"{tmp_path}/cp", settings=settings,
+                         partition_by=("vehicle_id",)))
+    assert read_table(spark, f"{tmp_path}/out", SILVER).count() == 2000
+    per_vehicle = {}
+    for path in data_files(tmp_path / "out"):
+        per_vehicle[path.parent.name] = per_vehicle.get(path.parent.name, 0) + 1
+    assert set(per_vehicle) == {"vehicle_id=V-0", "vehicle_id=V-1"}
+    assert all(1 < files <= 3 for files in per_vehicle.values())
+
+
 def test_state_partitions_are_fixed_by_the_settings(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     clean(spark, [{}]).write.parquet(f"{tmp_path}/in")
