@@ -243,3 +243,33 @@ def test_encoded_events_decode_to_themselves(spark):
     columns = ["timestamp", "vehicle_id", "cargo_temp", "humidity", "latitude"]
     assert back.select(columns).exceptAll(frame.select(columns)).isEmpty()
     assert back.count() == 2
+
+
+@pytest.mark.parametrize(
+    ("text", "second"),
+    [
+        ("2024-05-01T12:00:05Z", 5), ("2024-05-01T12:00:05.250Z", 5), ("2024-05-01 12:00:05", 5),
+        ("2024-05-01T14:00:05+02:00", 5), ("yesterday", None), ("", None),
+    ],
+)
+def test_flat_times_are_parsed_by_the_json_reader(spark, text, second):
+    payload = json.dumps({"Timestamp": text, "Vehicle_ID": "A-1", "Cargo_Temp": 4.0})
+    row = decode_flat(envelope(spark, [payload])).first()
+    assert row.vehicle_id == "A-1"
+    if second is None:
+        assert row.timestamp is None
+    else:
+        assert (row.timestamp.minute, row.timestamp.second) == (0, second)
+
+
+def test_flat_windows_stop_at_the_flag(spark):
+    from haulmetric.plans.layers import build_flat_silver
+    from haulmetric.schemas import FLAT_GOLD
+
+    payload = json.dumps({
+        "Timestamp": "2024-05-01T12:00:05Z", "Vehicle_ID": "A-1", "Ambient_Temp": 20.0,
+        "Cargo_Temp": 9.0, "Humidity": 50.0, "Vibration": 0.1, "Door_Status": "CLOSED",
+    })
+    gold = window_metrics(build_flat_silver(envelope(spark, [payload, payload])))
+    assert gold.columns == FLAT_GOLD.names
+    assert {row.anomaly_flag for row in gold.collect()} == {True}
