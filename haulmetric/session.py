@@ -60,11 +60,18 @@ def storage_conf() -> dict[str, str]:
     return {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}
 
 
-def state_conf(settings: Settings = DEFAULTS) -> dict[str, str]:
-    """Options a stateful query freezes into its checkpoint at the first start."""
+def state_conf(spark: SparkSession, settings: Settings = DEFAULTS) -> dict[str, str]:
+    """Options a stateful query freezes into its checkpoint at the first start.
+
+    State partitions: the setting, else what the session says, else one per core. Spark's own
+    200 are too few for a large cluster and slow on a small one.
+    """
+    key = "spark.sql.shuffle.partitions"
     values = {}
     if settings.state_partitions is not None:
-        values["spark.sql.shuffle.partitions"] = str(settings.state_partitions)
+        values[key] = str(settings.state_partitions)
+    elif spark.conf.get(key, None) is None:
+        values[key] = str(spark.sparkContext.defaultParallelism)
     if settings.state_store == "rocksdb":
         values["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
         values["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"

@@ -67,7 +67,8 @@ def append_to_path(
         continuous=continuous, name=name,
     )
     # A query copies the session's options when it starts.
-    with session_conf(frame.sparkSession, storage_conf() | state_conf(settings)):
+    spark = frame.sparkSession
+    with session_conf(spark, storage_conf() | state_conf(spark, settings)):
         return writer.start(path)
 
 
@@ -86,7 +87,8 @@ def append_to_table(
         frame, checkpoint, settings=settings, partition_by=partition_by,
         continuous=continuous, name=name,
     )
-    with session_conf(frame.sparkSession, storage_conf() | state_conf(settings)):
+    spark = frame.sparkSession
+    with session_conf(spark, storage_conf() | state_conf(spark, settings)):
         return writer.toTable(table)
 
 

@@ -192,6 +192,19 @@ def test_state_partitions_are_fixed_by_the_settings(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_state_partitions_default_to_the_session_then_to_the_cores(spark):
+    from haulmetric.session import state_conf
+
+    key = "spark.sql.shuffle.partitions"
+    assert key not in state_conf(spark)
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        assert state_conf(spark)[key] == str(spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_file_admission_limits_a_batch(spark, tmp_path):
     for start in range(3):
         envelope(spark, [body(seconds=start)], start).coalesce(1).write.mode("append").parquet(
