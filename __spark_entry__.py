@@ -61,6 +61,13 @@ from haulmetric.streaming.chain import (
 )
 from haulmetric.streaming.sinks import append_to_path, append_to_table, drain
 
+try:
+    from haulmetric.llm import registry as training_data
+except ModuleNotFoundError as error:
+    if error.name not in ("haulmetric.llm", "haulmetric.llm.registry", "corpus_pipeline"):
+        raise
+    training_data = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -419,6 +426,15 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    """Every registered query; those on training data only where their package is present."""
+    return telemetry_queries() | (training_data.queries() if training_data else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return oracles.oracle_sql() | (training_data.oracle_sql() if training_data else {})
+
+
+def telemetry_queries() -> dict[str, Query]:
     def on(source: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
         return lambda spark, sf_dir: operator(source(spark, sf_dir))
 
@@ -498,10 +514,6 @@ def queries() -> dict[str, Query]:
     return registered
 
 
-def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: window aggregates of the whole fleet, from raw envelopes."""
     return _gold(spark, SMOKE_DIR)

@@ -4,8 +4,10 @@ import __spark_entry__ as entry
 import parity
 import pytest
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+import oracles
+
+ORACLES = oracles.oracle_sql()
+QUERIES = entry.telemetry_queries()
 
 # Files and their times differ from run to run.
 NO_ORACLE = {"layer_history"}
