@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from haulmetric.llm.common import columns_of, fresh, quoted, read, saved, words
@@ -34,7 +35,7 @@ SKETCH_BITS = 6
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = (*BASE, "n_lines", "n_capitals", "n_shouts")
-_STRUCT = ", ".join(f"{name} long" for name in MEASURES)
+_STRUCT = T.StructType([T.StructField(name, T.LongType()) for name in MEASURES])
 _CAPITALS = re.compile("[A-ZÀ-ÖØ-Þ]+")
 
 
@@ -106,7 +107,6 @@ def measures(text: str | None) -> tuple[int, ...]:
     )
 
 
-@F.pandas_udf(_STRUCT)
 def _measured(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([measures(t) for t in texts], columns=list(MEASURES), dtype="int64")
 
@@ -114,7 +114,8 @@ def _measured(texts: pd.Series) -> pd.DataFrame:
 def measure(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """Add the struct column `into` with the MEASURES of each text."""
     # Not deterministic in name only: the optimiser then never runs the function twice.
-    return docs.withColumn(into, _measured.asNondeterministic()(quoted(text).cast("string")))
+    measured = F.pandas_udf(_measured, _STRUCT).asNondeterministic()
+    return docs.withColumn(into, measured(quoted(text).cast("string")))
 
 
 def _share(part: Column, whole: Column, scale: int) -> Column:
