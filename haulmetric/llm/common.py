@@ -54,10 +54,10 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[ord("A") : ord("Z") + 1] += 32
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[ord("A") : ord("Z") + 1] += 32
 _BASE = 0x9E3779B97F4A7C15
 _BLOCK = 1 << 20
 _powers: list[np.ndarray] = []
@@ -84,11 +84,11 @@ def word_codes(text: str | None, fold: bool = True) -> np.ndarray:
         return np.empty(0, np.uint64)
     data = np.frombuffer(text.encode(), np.uint8)
     if fold:
-        data = _FOLD[data]
+        data = FOLD[data]
     found, start = [], 0
     while start < len(data):
         stop = start + _BLOCK
-        while stop < len(data) and not (gap := _BLANK[data[stop : stop + _BLOCK]]).any():
+        while stop < len(data) and not (gap := BLANK[data[stop : stop + _BLOCK]]).any():
             stop += _BLOCK
         stop = stop + int(gap.argmax()) if stop < len(data) else len(data)
         found.append(_block_codes(data[start:stop]))
@@ -96,18 +96,39 @@ def word_codes(text: str | None, fold: bool = True) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _block_codes(data: np.ndarray) -> np.ndarray:
-    up, down = powers_of(len(data) + 1)
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in an array of bytes."""
     blank = np.ones(len(data) + 2, np.int8)
-    blank[1:-1] = _BLANK[data]
+    blank[1:-1] = BLANK[data]
     edges = np.flatnonzero(np.diff(blank))
-    starts, ends = edges[::2], edges[1::2]
+    return edges[::2], edges[1::2]
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    up, down = powers_of(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
         return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
+def _block_codes(data: np.ndarray) -> np.ndarray:
+    return _span_hashes(data, *word_spans(data))
+
+
+def span_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans in order of place, A-Z folded, the same as word_codes() gives."""
+    data = FOLD[data]
+    found, done = [], 0
+    while done < len(starts):
+        base = starts[done]
+        upto = max(int(np.searchsorted(ends, base + _BLOCK, "right")), done + 1)
+        part = slice(done, upto)
+        found.append(_span_hashes(data[base : ends[upto - 1]], starts[part] - base, ends[part] - base))
+        done = upto
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
 def word_count(text: Column) -> Column:
     """Number of words between ASCII blanks, 0 for a null text."""
     starts = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++"))

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -186,25 +186,26 @@ def _quartiles(counts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _pair(whole: Row, metric: Metric) -> dict[str, int | None]:
+    found = whole[metric.name]
+    return found.asDict() if found else {"q1": None, "q3": None}
+
+
 def thresholds(sketched: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row of fences per (lang, source), named <metric>_hi and <metric>_lo."""
-    same = lambda a, b, keys: [a[k].eqNullSafe(b[k]) for k in keys]
     own = _quartiles(sketched, ["lang", "source"])
     by_lang = _quartiles(
         sketched.groupBy("lang", "metric", "bucket").agg(F.sum("n").alias("n")), ["lang"]
     )
-    whole = _quartiles(
-        sketched.groupBy(F.lit(1).alias("one"), "metric", "bucket").agg(F.sum("n").alias("n")),
-        ["one"],
-    )
-    a, b, c = own.alias("a"), by_lang.alias("b"), whole.alias("c")
-    joined = a.join(b, F.expr("a.lang <=> b.lang"), "left").join(c, F.expr("c.one = 1"), "left")
+    # One row: the quartiles of everything.
+    whole = _quartiles(sketched.groupBy("metric", "bucket").agg(F.sum("n").alias("n")), []).first()
+    joined = own.alias("a").join(by_lang.alias("b"), F.expr("a.lang <=> b.lang"), "left")
     fences = []
     for m in METRICS:
         chosen = (
             F.when(F.col("a.docs") >= rules.min_docs, F.col(f"a.{m.name}"))
             .when(F.col("b.docs") >= rules.min_docs, F.col(f"b.{m.name}"))
-            .otherwise(F.col(f"c.{m.name}"))
+            .otherwise(F.struct(*(F.lit(v).cast("long").alias(k) for k, v in _pair(whole, m).items())))
         )
         room = rules.reach * F.greatest(chosen["q3"] - chosen["q1"], F.lit(m.least))
         fences.append((chosen["q3"] + room).alias(f"{m.name}_hi"))

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmetric.llm import ngram_join, quality
+import corpus_pipeline
+from haulmetric.llm import decontaminate, mixing, ngram_join, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,12 +15,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": quality.op1_quality_rules,
+        "op6_mix_sources": mixing.op6_mix_sources,
+        "op7_decontaminate": decontaminate.op7_decontaminate,
+        "op9_token_files": token_files.op9_token_files,
         "op10_ngram_join": ngram_join.op10_ngram_join,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    """Queries without SQL are compared with plain Python in tests/llm."""
+    found = {
         "op1_quality_rules": quality.oracle_sql(),
         "op10_ngram_join": ngram_join.oracle_sql(),
     }
+    if corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
