@@ -104,6 +104,30 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for each range of word codes, whatever stands around it."""
+    return _span_hashes(codes, starts, ends) if len(starts) else np.empty(0, np.uint64)
+
+
+def identity(docs: DataFrame, id_: str, text: str) -> DataFrame:
+    """Rows (nameless, ident, text): which document a row is.
+
+    That is its id, or a hash of the text where the id is null; null ids come after all others.
+    """
+    known, body = quoted(id_).cast("long"), quoted(text).cast("string")
+    return docs.select(
+        known.isNull().cast("int").alias("nameless"),
+        F.coalesce(known, F.xxhash64(body)).alias("ident"),
+        body.alias("text"),
+    )
+
+
+def named(place: str) -> Column:
+    """The id behind a struct with (nameless, ident)."""
+    at = F.col(place)
+    return F.when(at["nameless"] == 0, at["ident"])
+
+
 def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = powers_of(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
