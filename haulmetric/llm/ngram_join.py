@@ -10,7 +10,7 @@ Two texts link when their sets of distinct word shingles have a Jaccard similari
 3. Texts with equal sets collapse to one node. Each posting list is compared with its centre
    only, so a list of m nodes gives m - 1 candidates; lists that still touch several components
    get another centre in the next round. What is then left is compared pair by pair across
-   components, with the prefix, match-count and length filters, so that no link is lost.
+   components, by place in the prefix, match count and sizes, so that no link is lost.
 4. Candidates are verified on the full shingle sets of the whole texts.
 
 Defined results: texts that are null or without words have an empty set and are alone; fewer
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmetric.llm.common import (
@@ -56,11 +56,11 @@ class Join:
 
     size: int = 4
     percent: int = 85
-    max_matches: int = 8
+    max_matches: int = 4
     verify_cost: int = 16
     sketch_bits: int = 20
     bloom_bits: int = 26
-    star_rounds: int = 3
+    star_rounds: int = 2
     members: int = 256
 
 
@@ -94,7 +94,7 @@ def merged(chunks: DataFrame, kind: type, combine: Callable) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(found[k]) for k in sorted(found)), kind)
 
 
-def _chunked(array: np.ndarray) -> Iterator[pa.RecordBatch]:
+def chunked(array: np.ndarray) -> Iterator[pa.RecordBatch]:
     parts = np.split(array, CHUNKS)
     yield from batched(
         ((k, part.tobytes()) for k, part in enumerate(parts)),
@@ -109,7 +109,7 @@ def count_sketch(docs: DataFrame, join: Join) -> np.ndarray:
         total, shift = np.zeros(1 << join.sketch_bits, np.uint32), np.uint64(64 - join.sketch_bits)
         for (text,) in rows_of(batches, ("text",)):
             np.add.at(total, (shingles(text, join.size) >> shift).astype(np.int64), np.uint32(1))
-        yield from _chunked(total)
+        yield from chunked(total)
 
     found = merged(docs.select("text").mapInArrow(count, "chunk int, data binary"), np.uint32, np.add)
     return found if len(found) else np.zeros(1 << join.sketch_bits, np.uint32)
@@ -164,7 +164,7 @@ def _prints(docs: DataFrame, join: Join) -> DataFrame:
     )
 
 
-def _bloom(keys: DataFrame, bits: int) -> np.ndarray:
+def bloom(keys: DataFrame, bits: int) -> np.ndarray:
     """Bit set of 64-bit keys, two positions each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +172,7 @@ def _bloom(keys: DataFrame, bits: int) -> np.ndarray:
         for batch in batches:
             for at in _positions(batch.column("key").to_numpy(zero_copy_only=False), bits):
                 np.bitwise_or.at(found, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-        yield from _chunked(found)
+        yield from chunked(found)
 
     found = merged(
         keys.select("key").mapInArrow(work, "chunk int, data binary"), np.uint8, np.bitwise_or
@@ -180,6 +180,13 @@ def _bloom(keys: DataFrame, bits: int) -> np.ndarray:
     return found if len(found) else np.zeros(1 << (bits - 3), np.uint8)
 
 
+def in_bloom(keys: np.ndarray, found: np.ndarray, bits: int) -> np.ndarray:
+    keep = np.ones(len(keys), bool)
+    for at in _positions(keys, bits):
+        keep &= (found[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    return keep
+
+
 def _positions(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     keys = keys.astype(np.int64).view(np.uint64)
     low = np.uint64((1 << bits) - 1)
@@ -188,16 +195,14 @@ def _positions(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _texts(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     """(node, text) for the nodes asked for; other texts mostly stay where they are read."""
-    wanted = nodes.select("node", F.col("id").alias("node_id"), "key")
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(wanted, join.bloom_bits))
+    wanted = saved(nodes.select("node", F.col("id").alias("node_id"), "key"), "wanted")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted, join.bloom_bits))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value
         for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for at in _positions(batch.column("key").to_numpy(zero_copy_only=False), join.bloom_bits):
-                keep &= (found[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            yield batch.filter(pa.array(keep))
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(in_bloom(keys, found, join.bloom_bits)))
 
     likely = docs.select("id", F.xxhash64("text").alias("key"), "text").mapInArrow(
         work, "id long, key long, text string"
@@ -206,11 +211,10 @@ def _texts(docs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
         likely.join(wanted, "key")
         .filter(F.col("id").eqNullSafe(F.col("node_id")))
         .select("node", "text")
-        .dropDuplicates(["node"])
     )
 
 
-def verified(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough.
 
     Partners of one `a` are dealt out in groups of about `members`, each with a copy of a's text.
@@ -223,9 +227,10 @@ def verified(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
     of_b = pairs.join(groups, "a").select(
         F.col("b").alias("node"), "a", (F.pmod(F.xxhash64("b"), F.col("groups")) + 1).alias("deal"), "b"
     )
+    asked = saved(of_a.unionByName(of_b), "asked")
+    ids = asked.select("node").distinct().join(nodes.select("node", "id", "key"), "node")
     filled = (
-        of_a.unionByName(of_b)
-        .join(texts, "node")
+        asked.join(_texts(docs, ids, join), "node")
         .select("a", "deal", "b", "text")
         .repartition("a", "deal")
         .sortWithinPartitions("a", "deal", F.col("b").asc_nulls_first())
@@ -248,71 +253,99 @@ def verified(pairs: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
     return filled.mapInArrow(work, "a long, b long")
 
 
-def _long_enough(n: str, m: str, percent: int):
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def _may_match(x: str, y: str, percent: int) -> Column:
+    """Whether a token at its places in two prefixes can be one of the first matches of a pair
+    that is similar enough.
+
+    Sizes n and m ask for `least` shared shingles, so of l matches the last lies at most
+    n - least + l - 1 places into either text's order. The tokens of a prefix that no other text
+    holds leave `room` for sharing.
+    """
+    at = lambda side, name: F.col(f"{side}{name}")
+    n, m = at(x, "n"), at(y, "n")
+    least = F.ceil((n + m) * percent / F.lit(100 + percent))
+    more = F.least(at(x, "ell"), at(y, "ell")) - 1
+    return (
+        (F.least(at(x, "room"), at(y, "room")) >= least)
+        & (at(x, "pos") <= n - least + more)
+        & (at(y, "pos") <= m - least + more)
+    )
+
+
+def _active(nodes: DataFrame) -> DataFrame:
+    """Postings (token, node, pos, n, ell, room) of the tokens that two or more nodes hold.
+
+    room: how many shingles of the node another node can hold, which is all but those of its
+    prefix that turned out to be its own.
+    """
+    postings = nodes.select("node", F.posexplode("prefix").alias("pos", "token"))
+    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    active = saved(postings.join(shared.select("token"), "token"), "held")
+    sizes = active.groupBy("node").agg(F.count(F.lit(1)).alias("held"))
+    stats = nodes.select("node", "n", "ell", F.size("prefix").alias("asked")).join(sizes, "node")
+    room = (F.col("n") - F.col("asked") + F.col("held")).cast("int").alias("room")
+    return saved(active.join(stats.select("node", "n", "ell", room), "node"), "active")
 
 
 def _links(nodes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """Edges (a, b) that connect every class of similar nodes."""
-    postings = nodes.select("node", "n", "ell", F.explode("prefix").alias("token"))
-    entry = F.struct("node", "n", "ell")
-    shared = postings.groupBy("token").agg(F.min(entry).alias("centre"), F.count(F.lit(1)).alias("m"))
-    active = saved(
-        postings.join(shared.filter("m > 1").select("token", "centre"), "token"), "active"
-    )
-    # Every text that any round may compare, fetched once.
-    ids = active.select("node").distinct().join(nodes.select("node", "id", "key"), "node")
-    texts = saved(_texts(docs, saved(ids, "ids"), join), "texts")
+    lists = _active(nodes).withColumn("component", F.col("node"))
     links = None
     tested = None
-    lists = active
     for turn in range(join.star_rounds + 1):
         if turn:
             comp = components(links)
-            lists = active.drop("centre").join(comp, "node", "left").withColumn(
-                "component", F.coalesce("component", "node")
+            lists = saved(
+                lists.drop("component", "centre")
+                .join(comp, "node", "left")
+                .withColumn("component", F.coalesce("component", "node")),
+                "labelled",
             )
-            # Another centre each turn: the least in an order that the turn decides.
-            entry = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), "node", "n", "ell", "component")
-            open_ = lists.groupBy("token").agg(
-                F.min(entry).alias("centre"), F.min("component").alias("low"),
-                F.max("component").alias("high"), F.count(F.lit(1)).alias("m"),
-            ).filter("low < high")
-            lists = saved(lists.join(open_.select("token", "centre", "m"), "token"), "lists")
+        # The centre of a list is its least peculiar node, as the original is among its copies;
+        # among equals another one each turn.
+        rank = F.struct((F.col("n") - F.col("room")).alias("own"), F.xxhash64("node", F.lit(turn)).alias("r"))
+        entry = F.struct("node", "pos", "n", "ell", "room", "component")
+        open_ = lists.groupBy("token").agg(
+            F.min(F.struct(rank.alias("rank"), entry.alias("entry")))["entry"].alias("centre"),
+            F.min("component").alias("low"), F.max("component").alias("high"),
+        ).filter("low < high").select("token", "centre")
+        lists = saved(lists.join(open_, "token"), "lists")
         exact = turn and (turn == join.star_rounds or _few(lists, nodes))
         if exact:
             x, y = lists.alias("x"), lists.alias("y")
             found = x.join(
                 y,
                 F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component")
-                & _long_enough("x.n", "y.n", join.percent),
+                & _may_match("x.", "y.", join.percent),
             ).select(
                 F.col("x.node").alias("a"), F.col("y.node").alias("b"),
                 F.least("x.ell", "y.ell").alias("ell"),
             )
         else:
-            apart = "centre.node <> node" + (" AND centre.component <> component" if turn else "")
-            found = lists.filter(apart).filter(_long_enough("n", "centre.n", join.percent)).select(
-                F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"),
+            found = lists.filter("centre.node <> node AND centre.component <> component").filter(
+                _may_match("", "centre.", join.percent)
+            ).select(
+                F.col("centre.node").alias("a"), F.col("node").alias("b"),
                 F.least("ell", "centre.ell").alias("ell"),
             )
         pairs = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("ell").alias("ell"))
         pairs = pairs.filter("shared >= ell").select("a", "b")
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            flipped = tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
+            pairs = pairs.join(tested.unionByName(flipped), ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        new = saved(verified(pairs, texts, join), "links")
+        new = saved(verified(pairs, nodes, docs, join), "links")
         links = new if links is None else links.unionByName(new)
         if exact:
             return links
 
 
 def _few(lists: DataFrame, nodes: DataFrame) -> bool:
-    """Whether comparing all members of the open lists costs no more than a few rounds of stars."""
-    pairs = lists.groupBy("token").agg(F.max("m").alias("m")).agg(
-        F.sum(F.col("m").cast("double") * F.col("m") / 2)
-    ).first()[0]
+    """Whether comparing members of different components in the open lists is cheap by now."""
+    cross = lists.groupBy("token", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    cross = cross.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"))
+    pairs = cross.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()[0]
     return (pairs or 0) <= 64 * nodes.count()
 
 
