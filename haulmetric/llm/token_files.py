@@ -18,10 +18,10 @@ are ordered by text; repeated rows are all written; an empty table writes no sha
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +45,7 @@ class Files:
     tokenizer: str
     end: int = 2
     shard_tokens: int = 4_000_000
-    cached: int = 400_000
+    cached: int = 700_000
 
 
 def default_files() -> Files:
@@ -86,23 +86,24 @@ def bit_lengths(ids: np.ndarray) -> np.ndarray:
 def pack(values: np.ndarray, width: int) -> bytes:
     """Values of `width` bits, one after the other, low bits first."""
     found = []
-    places = np.arange(width, dtype=np.uint32)
+    kind = "<u2" if width <= 16 else "<u4"
     for start in range(0, len(values), _BATCH):  # a multiple of 8 values, so whole bytes
-        part = values[start : start + _BATCH].astype(np.uint32)
-        found.append(np.packbits(((part[:, None] >> places) & 1).astype(np.uint8), bitorder="little"))
-    return b"".join(p.tobytes() for p in found)
+        part = values[start : start + _BATCH].astype(kind)
+        bits = np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
+        found.append(np.packbits(bits[:, :width], bitorder="little").tobytes())
+    return b"".join(found)
 
 
 def unpack(data: memoryview, width: int, count: int) -> np.ndarray:
     found = np.empty(count, np.uint32)
-    weights = (1 << np.arange(width, dtype=np.uint32)).astype(np.uint32)
+    kind, full = ("<u2", 16) if width <= 16 else ("<u4", 32)
     raw = np.frombuffer(data, np.uint8)
     for start in range(0, count, _BATCH):
-        stop = min(start + _BATCH, count)
-        bits = np.unpackbits(
-            raw[start * width // 8 : -(-stop * width // 8)], bitorder="little", count=(stop - start) * width
-        )
-        found[start:stop] = bits.reshape(-1, width) @ weights
+        size = min(_BATCH, count - start)
+        part = raw[start * width // 8 : -(-(start + size) * width // 8)]
+        bits = np.zeros((size, full), np.uint8)
+        bits[:, :width] = np.unpackbits(part, bitorder="little", count=size * width).reshape(size, width)
+        found[start : start + size] = np.packbits(bits, axis=1, bitorder="little").view(kind).ravel()
     return found
 
 
@@ -211,73 +212,86 @@ def shard_bytes(part: int, seq: int, doc_ids: list[int | None], docs: list[np.nd
 # --- tokenizing -------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    return array if size <= len(array) else np.concatenate([array, np.zeros(size, array.dtype)])
 
 
 class Pieces:
     """Ids of texts by way of the ids of their pieces.
 
-    Byte-level pre-tokens never reach over the border between a non-blank and a single space
-    before a non-blank, so a text's ids are those of the pieces cut there, and a piece is
-    encoded once per task. Texts with other blanks beside a space, or with the text of an added
-    token, are encoded whole.
+    Byte-level pre-tokens never reach over the border before a single space or line feed, nor
+    over one between a letter and the punctuation before a blank; a text's ids are those of the pieces cut there,
+    and a piece is encoded once per task. Texts with other blanks, runs of blanks or the text of
+    an added token are encoded whole.
     """
 
     def __init__(self, files: Files):
-        self.tokenizer = _tokenizer(files.tokenizer)
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(files.tokenizer)
         self.most = files.cached
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        # A space before a word is the first letter of the word's first token.
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self._clear()
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.flat: list[int] = []
-        self.bounds = [0]
-        self.arrays = None
+        self.flat = np.empty(1 << 16, np.uint32)
+        self.bounds = np.zeros(1 << 16, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [t if self._safe(t) else "" for t in texts]
-        pieces: list[list[str]] = [[] for _ in texts]
-        unseen: dict[str, None] = {}
-        for k, text in enumerate(plain):
-            if text:
-                first, *rest = text.split(" ")
-                pieces[k] = [first] * bool(first) + [f" {r}" for r in rest]
+        plain = [self._safe(t) for t in texts]
+        pieces = [_PIECE.findall(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
         if len(self.index) >= self.most:
             self._clear()
-        for own in pieces:
-            unseen.update(dict.fromkeys(p for p in own if p not in self.index))
+        index = self.index
+        unseen = list(dict.fromkeys(p for own in pieces for p in own if p not in index))
         if unseen:
-            fresh = list(unseen)
-            for piece, coded in zip(fresh, self._batch(fresh), strict=True):
-                self.index[piece] = len(self.index)
-                self.flat += coded
-                self.bounds.append(len(self.flat))
-            self.arrays = None
-        if self.arrays is None:
-            self.arrays = np.array(self.flat, np.uint32), np.array(self.bounds, np.int64)
+            # Pieces with a space in front are encoded in one go and told apart by their spaces.
+            unseen.sort(key=lambda p: p[0] != " ")
+            spaced = sum(p[0] == " " for p in unseen)
+            flat, sizes = self._together(unseen[:spaced])
+            rest = self._batch(unseen[spaced:])
+            sizes += [len(c) for c in rest]
+            done = len(index)
+            start = int(self.bounds[done])
+            ends = start + np.cumsum(sizes)
+            self.bounds = _grown(self.bounds, done + len(sizes) + 1)
+            self.bounds[done + 1 : done + len(sizes) + 1] = ends
+            self.flat = _grown(self.flat, int(ends[-1]))
+            self.flat[start : start + len(flat)] = flat
+            self.flat[start + len(flat) : ends[-1]] = [i for c in rest for i in c]
+            index.update(zip(unseen, range(done, done + len(unseen)), strict=True))
         found = [self._joined(own) for own in pieces]
-        whole = [k for k, text in enumerate(texts) if text and not plain[k]]
+        whole = [k for k, ok in enumerate(plain) if not ok]
         for k, coded in zip(whole, self._batch([texts[k] for k in whole]), strict=True):
             found[k] = np.array(coded, np.uint32)
         return found
 
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Ids of pieces that each hold one space, in front, and how many each piece has."""
+        if not pieces:
+            return np.empty(0, np.uint32), []
+        ids = np.array(self._batch(["".join(pieces)])[0], np.uint32)
+        starts = np.flatnonzero(self.opens[ids])
+        if len(starts) != len(pieces):
+            raise AssertionError("pieces and ids do not line up")
+        return ids, np.diff(starts, append=len(ids)).tolist()
+
     def _safe(self, text: str) -> bool:
-        return not (
-            "  " in text or " \n" in text or "\n " in text or text.endswith(" ") or text.startswith(" ")
-            or any(blank in text for blank in _OTHER_BLANKS) or any(a in text for a in self.added)
-        )
+        """Whether all blanks are single spaces and line feeds between words."""
+        alone = text.count(" ") + text.count("\n") + 1
+        return len(text.split()) == alone and not any(a in text for a in self.added)
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _joined(self, pieces: list[str]) -> np.ndarray:
         """Concatenate ranges of the flat ids."""
-        flat, bounds = self.arrays
+        flat, bounds = self.flat, self.bounds
         at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
         starts, sizes = bounds[at], bounds[at + 1] - bounds[at]
         ends = np.cumsum(sizes)
@@ -285,10 +299,11 @@ class Pieces:
         return flat[steps + np.arange(len(steps))]
 
 
-# Blanks of Unicode besides the plain space and the line feed.
-_OTHER_BLANKS = tuple(
-    "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0         "
-    "       　"
+#: A word before punctuation that ends at a blank, that punctuation, a line feed, or anything
+#: up to the next blank.
+_PIECE = re.compile(
+    r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?|&*$%#]*(?:[ \n]|\Z))"
+    r"|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,!?|&*$%#]+(?=[ \n]|\Z)|\n| ?[^ \n]+"
 )
 
 
@@ -319,8 +334,8 @@ def write_token_files(docs: DataFrame, path: str, files: Files, id_: str = "doc_
         def made() -> Iterator[tuple]:
             ids, docs_, total, seq, part = [], [], 0, 0, 0
             for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    block = batch.slice(start, 256)
+                for start in range(0, batch.num_rows, 1024):
+                    block = batch.slice(start, 1024)
                     part = block.column("part")[0].as_py() if block.num_rows else part
                     coded = pieces.encode(block.column("text").to_pylist())
                     for id__, own in zip(block.column("id").to_pylist(), coded, strict=True):
