@@ -109,6 +109,15 @@ def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return _span_hashes(codes, starts, ends) if len(starts) else np.empty(0, np.uint64)
 
 
+def deletion_hashes(codes: np.ndarray) -> np.ndarray:
+    """range_hashes() of the list without each one of its codes."""
+    up, down = powers_of(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
+        return mixed(sums[:-1] + (sums[-1] - sums[1:]) * down[1])
+
+
 def identity(docs: DataFrame, id_: str, text: str) -> DataFrame:
     """Rows (nameless, ident, text): which document a row is.
 
