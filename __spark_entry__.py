@@ -25,13 +25,9 @@ from haulmetric.operators.quality import (
     rejected_events,
     valid_events,
 )
-from haulmetric.operators.windows import (
-    anomaly_windows,
-    window_metrics,
-    window_metrics_by_panes,
-)
+from haulmetric.operators.windows import anomaly_windows, window_metrics
 from haulmetric.plans import reports, upkeep
-from haulmetric.plans.catalog import bootstrap_tables, layer_history, schema_explorer
+from haulmetric.plans.catalog import bootstrap_tables, schema_explorer
 from haulmetric.plans.layers import (
     build_flat_silver,
     build_gold,
@@ -101,10 +97,6 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(_bronze(spark, sf_dir))
 
 
-def _recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest.silver_recent(_silver(spark, sf_dir), DEFAULTS.recent_rows)
-
-
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_gold(_silver(spark, sf_dir))
 
@@ -139,35 +131,27 @@ def condensation_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- fleet status: over the newest events, and over all of them --------------------------
+# --- fleet status ------------------------------------------------------------------------
 
 
-def _status(source: Query, suffix: str, *, sample: bool) -> dict[str, Query]:
+def _status() -> dict[str, Query]:
     def over_events(operator: Callable[[DataFrame], DataFrame]) -> Query:
-        return lambda spark, sf_dir: operator(source(spark, sf_dir))
+        return lambda spark, sf_dir: operator(_silver(spark, sf_dir))
 
     def over_latest(operator: Callable[[DataFrame], DataFrame]) -> Query:
         return over_events(lambda events: operator(fleet.latest_per_vehicle(events)))
 
-    def trail(events: DataFrame) -> DataFrame:
-        return fleet.route_trail(events, fleet.default_selection(events))
-
-    found = {
+    return {
         "latest_per_vehicle": over_latest(lambda latest: latest),
         "fleet_kpis": over_events(fleet.fleet_kpis),
         "active_anomalies": over_latest(fleet.active_anomalies),
         "active_condensation": over_latest(fleet.active_condensation),
         "alert_feed": over_latest(fleet.alert_feed),
-        "route_trail": over_events(trail),
-        "map_center": over_events(lambda events: fleet.map_center(trail(events))),
-        "timeline_cargo": over_events(
-            lambda events: fleet.timeline(events, "cargo_temp", ordered=sample)
-        ),
-        "timeline_vibration": over_events(
-            lambda events: fleet.timeline(events, "vibration", ordered=sample)
-        ),
+        "route_trail": over_events(fleet.route_trail),
+        "map_center": over_events(lambda events: fleet.map_center(fleet.route_trail(events))),
+        "timeline_cargo": over_events(lambda events: fleet.timeline(events, "cargo_temp")),
+        "timeline_vibration": over_events(lambda events: fleet.timeline(events, "vibration")),
     }
-    return {name + suffix: query for name, query in found.items()}
 
 
 # --- cross-layer reports ----------------------------------------------------------------
@@ -182,16 +166,19 @@ def _of_layers(report: Callable[..., DataFrame]) -> Query:
     return query
 
 
-def _console(template: str) -> Query:
-    text = reports.CONSOLE_TEMPLATES[template]
-    return _of_layers(
-        lambda bronze, silver, gold: reports.run_sql_on(
-            text, bronze=bronze, silver=silver, gold=gold
-        )
-    )
+# --- stored layers ----------------------------------------------------------------------
 
 
-# --- stored layers ----------------------------------------------------------------------
+def _database() -> str:
+    return f"telemetry_{uuid.uuid4().hex}"
+
+
+def _result(spark: SparkSession, frame: DataFrame, database: str) -> DataFrame:
+    """The rows in a folder of their own, so that the database they came from can go."""
+    path = scratch_dir(spark, "result")
+    write_table(frame, f"{path}/rows")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(frame.schema).parquet(f"{path}/rows")
 
 
 def register_layers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,14 +188,22 @@ def register_layers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_totals(spark: SparkSession, listing: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Add the number of rows of each layer to a listing of columns."""
+    totals = " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, count(*) AS total_rows FROM {name}" for layer, name in names.items()
+    )
+    return listing.join(spark.sql(totals), "layer")
+
+
 def schema_explorer_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = register_layers(spark, _stored(spark, sf_dir).layer_paths())
-    return schema_explorer(spark, {name: name for name in names})
+    names = {name: name for name in register_layers(spark, _stored(spark, sf_dir).layer_paths())}
+    return _with_totals(spark, schema_explorer(spark, names), names)
 
 
 def bootstrap_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create the catalog tables, twice, then fill them and list what the catalog holds."""
-    database = f"telemetry_{uuid.uuid4().hex}"
+    database = _database()
     settings = replace(
         DEFAULTS.at(scratch_dir(spark, "catalog")),
         bronze_table=f"{database}.bronze",
@@ -223,7 +218,8 @@ def bootstrap_tables_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     for table in tables.values():
         spark.catalog.refreshTable(table)
     # The catalog lists partition columns last, so positions differ from the declared ones.
-    return schema_explorer(spark, tables).drop("position")
+    listing = _with_totals(spark, schema_explorer(spark, tables), tables).drop("position")
+    return _result(spark, listing, database)
 
 
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,11 +233,6 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.run_sql(spark, text, _stored(spark, sf_dir))
 
 
-def layer_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = _stored(spark, sf_dir)
-    return layer_history(spark.read.schema(SILVER).parquet(settings.silver_path))
-
-
 def bronze_latest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest envelopes of a stored table, without reading the bodies of the others."""
     path = scratch_dir(spark, "bronze")
@@ -365,33 +356,30 @@ def bronze_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat stream into a catalog table. Its source holds one copy per key and time."""
-    events = first_arrival(
-        valid_events(decode_flat(_flat_bronze(spark, sf_dir), keep=ENVELOPE.names,
-                                 renamed={"timestamp": "broker_time"})),
-    )
-    envelope = events.withColumn("timestamp", F.col("broker_time")).select(ENVELOPE.names)
-    bus = open_bus_files(spark, _land(spark, envelope))
+    """The flat stream, as it comes, into a catalog table."""
+    bus = open_bus_files(spark, _land(spark, _flat_bronze(spark, sf_dir)))
     root = scratch_dir(spark, "table")
-    database = f"telemetry_{uuid.uuid4().hex}"
+    database = _database()
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
     drain(append_to_table(flat_silver_stream(bus), f"{database}.silver", f"{root}/checkpoint"))
-    return spark.table(f"{database}.silver").select(FLAT_SILVER.names)
+    return _result(spark, spark.table(f"{database}.silver").select(FLAT_SILVER.names), database)
 
 
 def stream_dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys that a streamed dedup of all raw envelopes lets through."""
+    """Keys that the low-latency dedup of all raw envelopes lets through."""
     bus = open_bus_files(spark, _land(spark, _bronze(spark, sf_dir)))
     events = valid_events(decode_nested(bus, keep=ARRIVAL))
     return spark.read.parquet(
-        _stream_out(dedup_stream(events).select("vehicle_id", "timestamp"))
+        _stream_out(
+            dedup_stream(events, settings=replace(DEFAULTS, dedup_mode="fast")).select(
+                "vehicle_id", "timestamp"
+            )
+        )
     )
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bus = open_bus_files(
-        spark, _land(spark, fixtures.redelivered_envelope(_events(spark, sf_dir)))
-    )
+    bus = open_bus_files(spark, _land(spark, _bronze(spark, sf_dir)))
     out = _stream_out(silver_stream(bus), partition_by=LAYER_PARTITIONS["silver"])
     return read_table(spark, out, SILVER)
 
@@ -416,7 +404,7 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bus -> bronze -> silver -> gold as three chained streams."""
-    landing = _land(spark, fixtures.redelivered_envelope(_events(spark, sf_dir)))
+    landing = _land(spark, _bronze(spark, sf_dir))
     settings = DEFAULTS.at(scratch_dir(spark, "chain"))
     run_once(open_bus_files(spark, landing), settings)
     return read_table(spark, settings.gold_path, GOLD)
@@ -438,6 +426,7 @@ def telemetry_queries() -> dict[str, Query]:
     def on(source: Query, operator: Callable[[DataFrame], DataFrame]) -> Query:
         return lambda spark, sf_dir: operator(source(spark, sf_dir))
 
+    console = reports.console()
     registered: dict[str, Query] = {
         # decoding and derived measures
         "parse_nested": on(_decoded, lambda events: events.select(*SAMPLE)),
@@ -463,13 +452,12 @@ def telemetry_queries() -> dict[str, Query]:
         "flat_silver": on(_flat_bronze, build_flat_silver),
         # windows
         "window_metrics": _gold,
-        "window_metrics_panes": on(_silver, window_metrics_by_panes),
         "anomaly_windows": on(_gold, anomaly_windows),
         "flat_window_metrics": on(
             _flat_bronze, lambda bronze: window_metrics(build_flat_silver(bronze))
         ),
         # whole-table reports
-        "vehicle_totals": _console("vehicle_totals"),
+        "vehicle_totals": _of_layers(console["vehicle_totals"]),
         "risk_events": on(_silver, fleet.anomaly_events),
         "vehicle_ids": on(_silver, fleet.vehicle_ids),
         "vehicle_slot": on(_silver, fleet.vehicle_slots),
@@ -480,19 +468,20 @@ def telemetry_queries() -> dict[str, Query]:
         "bronze_latest": on(_bronze, newest.bronze_latest),
         "payload_preview": on(_bronze, newest.payload_preview),
         "silver_latest": on(_silver, newest.silver_latest),
-        "silver_recent": _recent,
+        "silver_recent": on(
+            _silver, lambda silver: newest.silver_recent(silver, DEFAULTS.recent_rows)
+        ),
         "gold_latest": on(_gold, newest.gold_latest),
         "gold_recent": on(_gold, newest.gold_recent),
-        "anomaly_events": _console("anomaly_events"),
-        "console_latest_events": _console("console_latest_events"),
-        "console_gold": _console("console_gold"),
-        "console_raw": _console("console_raw"),
+        "anomaly_events": _of_layers(console["anomaly_events"]),
+        "console_latest_events": _of_layers(console["console_latest_events"]),
+        "console_gold": _of_layers(console["console_gold"]),
+        "console_raw": _of_layers(console["console_raw"]),
         # stored layers
         "register_layers": register_layers_query,
         "schema_explorer": schema_explorer_query,
         "bootstrap_tables": bootstrap_tables_query,
         "adhoc_sql": adhoc_sql,
-        "layer_history": layer_history_query,
         "bronze_latest_stored": bronze_latest_stored,
         "silver_partition_counts": silver_partition_counts,
         "compact_layer": compact_layer,
@@ -509,9 +498,7 @@ def telemetry_queries() -> dict[str, Query]:
         "stream_late_drop": stream_late_drop,
         "layers_end_to_end": layers_end_to_end,
     }
-    registered.update(_status(_recent, "", sample=True))
-    registered.update(_status(_silver, "_all", sample=False))
-    return registered
+    return registered | _status()
 
 
 def entry(spark: SparkSession) -> DataFrame:

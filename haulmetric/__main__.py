@@ -1,17 +1,22 @@
-"""Jobs to submit: `python -m haulmetric bootstrap | stream | maintain | check | sql`."""
+"""Jobs to submit: `python -m haulmetric bootstrap | stream | maintain | check | sql | ...`."""
 
 from __future__ import annotations
 
 import argparse
 import logging
+import sys
+import time
 
+from pyspark.sql import DataFrame
+
+from haulmetric.operators import fleet
 from haulmetric.operators.newest import bronze_latest, gold_latest, silver_latest
 from haulmetric.plans.catalog import bootstrap_tables
-from haulmetric.plans.reports import run_sql
+from haulmetric.plans.reports import layer_feed, layer_heartbeat, run_sql, stored_layers
 from haulmetric.plans.upkeep import maintain_layers
 from haulmetric.schemas import LAYER_SCHEMAS
 from haulmetric.session import build_session
-from haulmetric.settings import load_settings
+from haulmetric.settings import Settings, load_settings
 from haulmetric.sources.bus import open_bus, open_bus_files
 from haulmetric.sources.tables import read_table
 from haulmetric.streaming.chain import run_once, start_all
@@ -21,6 +26,9 @@ log = logging.getLogger("haulmetric")
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="haulmetric")
+    parser.add_argument(
+        "--set", action="append", default=[], metavar="FIELD=VALUE", help="override a setting"
+    )
     commands = parser.add_subparsers(dest="command", required=True)
     commands.add_parser("bootstrap", help="create the database and the layer tables")
     stream = commands.add_parser("stream", help="run the three layer streams")
@@ -31,13 +39,17 @@ def _arguments() -> argparse.Namespace:
     commands.add_parser("check", help="show the newest rows of each layer")
     sql = commands.add_parser("sql", help="run SQL over the views bronze, silver and gold")
     sql.add_argument("text")
+    sql.add_argument("--out", help="folder for all rows as Parquet, instead of printing them")
+    sql.add_argument("--rows", type=int, help="print at most so many rows, and say how many are left")
+    for name in ("heartbeat", "feed", "kpis", "alerts", "trail"):
+        commands.add_parser(name, help=f"show the {name} of the stored layers")
     return parser.parse_args()
 
 
 def main() -> None:
     logging.basicConfig(level=logging.INFO, format="%(levelname)s: haulmetric: %(message)s")
     arguments = _arguments()
-    settings = load_settings()
+    settings = load_settings(overrides=arguments.set)
     spark = build_session(f"haulmetric-{arguments.command}", settings)
     if arguments.command == "bootstrap":
         for table in bootstrap_tables(spark, settings):
@@ -54,17 +66,57 @@ def main() -> None:
             start_all(bus, settings)
             spark.streams.awaitAnyTermination()
     elif arguments.command == "maintain":
-        for layer, operation, status in maintain_layers(spark, settings, arguments.target):
+        # A folder of its own for each run, so that a failed one can be repeated.
+        target = f"{arguments.target.rstrip('/')}/{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}"
+        outcome = maintain_layers(spark, settings, target)
+        for layer, operation, status in outcome:
             log.info("%s %s: %s", operation, layer, status)
+        if any(status not in ("done", "missing") for _, _, status in outcome):
+            spark.stop()
+            sys.exit(1)
     elif arguments.command == "check":
         reports = {"bronze": bronze_latest, "silver": silver_latest, "gold": gold_latest}
         for layer, path in settings.layer_paths().items():
             table = read_table(spark, path, LAYER_SCHEMAS[layer], settings.table_format)
             reports[layer](table, by_cutoff=True).show(truncate=False)
+    elif arguments.command == "sql":
+        result = run_sql(spark, arguments.text, settings)
+        if arguments.out:
+            result.write.parquet(arguments.out)
+        else:
+            _print(result, arguments.rows)
     else:
-        run_sql(spark, arguments.text, settings).show(truncate=False)
+        _print(_report(arguments.command, stored_layers(spark, settings), settings))
     spark.stop()
 
 
+def _print(result: DataFrame, rows: int | None = None) -> None:
+    """All rows as tab-separated text, one by one; or the first ones and how many are left."""
+    print(*result.columns, sep="\t")
+    shown = 0
+    for row in result.toLocalIterator():
+        if rows is not None and shown >= rows:
+            print(f"... {result.count() - shown} more rows")
+            return
+        print(*row, sep="\t")
+        shown += 1
+
+
+def _report(name: str, layers: dict[str, DataFrame | None], settings: Settings) -> DataFrame:
+    if name == "heartbeat":
+        return layer_heartbeat(**layers)
+    missing = [layer for layer, frame in layers.items() if frame is None]
+    if missing:
+        raise SystemExit(f"not there yet: {', '.join(missing)}")
+    if name == "feed":
+        return layer_feed(**layers)
+    silver = layers["silver"]
+    if name == "kpis":
+        return fleet.fleet_kpis(silver, settings)
+    if name == "alerts":
+        return fleet.alert_feed(fleet.latest_per_vehicle(silver), settings)
+    return fleet.route_trail(silver, settings=settings)
+
+
 if __name__ == "__main__":
     main()

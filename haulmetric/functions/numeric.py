@@ -16,24 +16,37 @@ def present(reading: Column) -> Column:
     return F.nanvl(reading, F.lit(None).cast("double"))
 
 
-def scaled(reading: Column, digits: int) -> Column:
-    """The reading as a whole number of 10^-digits units; NaN and overflow become NULL.
+#: Decimal digits of a reading that count in an average.
+MEAN_DIGITS = 9
+
+
+def parts(reading: Column) -> tuple[Column, Column]:
+    """A reading as whole units and 10^-9 units of the rest, both as longs.
 
     A double sum depends on the order in which partial results meet, so its rounded average
-    flips at midpoints from run to run. Whole numbers add up the same in every order, and a
-    long stays in the codegen hash aggregate without the cost of decimals.
+    flips at midpoints from run to run. Whole numbers add up the same in every order, and longs
+    stay in the codegen hash aggregate without the cost of decimals. NaN, and what no long
+    holds, count as missing.
     """
-    return F.rint(reading * F.lit(float(10**digits))).try_cast("bigint")
+    known = F.when(F.abs(reading) < F.lit(2.0**63), reading)
+    whole = F.floor(known)
+    rest = F.rint((known - whole) * F.lit(10.0**MEAN_DIGITS)).cast("bigint")
+    return whole, rest
+
+
+def total_units(reading: Column) -> Column:
+    """Exact sum in 10^-9 units, as an aggregate; a sum over the range of longs is an error."""
+    whole, rest = parts(reading)
+    scale = F.lit(10**MEAN_DIGITS).cast("decimal(10,0)")
+    return F.sum(whole).cast("decimal(19,0)") * scale + F.sum(rest).cast("decimal(19,0)")
 
 
-def mean_of(total: Column, count: Column, scale_digits: int, digits: int = 2) -> Column:
-    """Average, rounded half-up, from a `scaled` total and a row count; NULL for no rows."""
-    rows = F.nullif(count.cast("decimal(20,0)"), F.lit(0))
-    units = F.round(F.try_divide(total.cast("decimal(20,0)"), rows), digits - scale_digits)
-    return units.cast("double") / F.lit(float(10**scale_digits)) + F.lit(0.0)
+def counted(reading: Column) -> Column:
+    return F.count(parts(reading)[0])
 
 
-def exact_mean(reading: Column, scale_digits: int, digits: int = 2) -> Column:
-    """`round(avg(reading), digits)` as one order-independent aggregate."""
-    units = scaled(reading, scale_digits)
-    return mean_of(F.try_sum(units), F.count(units), scale_digits, digits)
+def exact_mean(reading: Column, digits: int = 2) -> Column:
+    """`round(avg(reading), digits)`, half-up, as one order-independent aggregate."""
+    rows = F.nullif(counted(reading).cast("decimal(19,0)"), F.lit(0))
+    units = F.round(F.try_divide(total_units(reading), rows), digits - MEAN_DIGITS)
+    return units.cast("double") / F.lit(10.0**MEAN_DIGITS) + F.lit(0.0)

@@ -36,50 +36,45 @@ def preview(payload: Column, length: int) -> Column:
     return F.substring(payload.cast("string"), 1, length)
 
 
+def _line(*parts: str | Column) -> Column:
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+
+
 def bronze_line(length: int = 110) -> Column:
-    return F.concat(
-        F.lit("["), shown_time(F.col("timestamp")),
-        F.lit("] Offset "), shown(F.col("offset")),
-        F.lit(" | "), F.coalesce(preview(F.col("value"), length), F.lit("")),
-        F.lit("..."),
-    )
+    return _line(
+        "raw #", shown(F.col("offset")), " at ", shown_time(F.col("timestamp")), ": ",
+        F.coalesce(preview(F.col("value"), length), F.lit("")),
+    )
 
 
 def silver_line() -> Column:
-    return F.concat(
-        shown(F.col("vehicle_id")), F.lit(" @ "), shown_time(F.col("timestamp")),
-        F.lit(" | Cargo: "), shown(F.col("cargo_temp")),
-        F.lit("°C | Door: "), shown(F.col("door_status")),
-        F.lit(" | Δ: "), shown(F.col("temp_delta")), F.lit("°C"),
-    )
+    return _line(
+        "event of ", shown(F.col("vehicle_id")), " at ", shown_time(F.col("timestamp")),
+        ": cargo ", shown(F.col("cargo_temp")), " C (", shown(F.col("temp_delta")),
+        " to outside), door ", shown(F.col("door_status")),
+    )
 
 
 def gold_line() -> Column:
-    return F.concat(
-        shown(F.col("vehicle_id")),
-        F.lit(" ["), F.date_format("window_start", "HH:mm:ss"),
-        F.lit(" - "), F.date_format("window_end", "HH:mm:ss"),
-        F.lit("] | Avg Cargo: "), shown(F.col("avg_cargo_temp")),
-        F.lit("°C | Anomaly: "), shown(F.col("anomaly_flag")),
-    )
+    return _line(
+        "window of ", shown(F.col("vehicle_id")), " from ", F.date_format("window_start", "HH:mm:ss"),
+        " to ", F.date_format("window_end", "HH:mm:ss"),
+        ": mean cargo ", shown(F.col("avg_cargo_temp")), " C, flagged ", shown(F.col("anomaly_flag")),
+    )
 
 
 def anomaly_message() -> Column:
-    return F.concat(
-        F.lit("Anomaly Alert: "), F.col("vehicle_id"),
-        F.lit(" (Temp: "), shown(F.col("cargo_temp")),
-        F.lit("°C, Door: "), shown(F.col("door_status")),
-        F.lit(", Vibration: "), shown(F.col("vibration")), F.lit("G)"),
-    )
+    return _line(
+        F.col("vehicle_id"), " out of range: cargo ", shown(F.col("cargo_temp")),
+        " C, vibration ", shown(F.col("vibration")), " g, door ", shown(F.col("door_status")),
+    )
 
 
 def condensation_message() -> Column:
-    return F.concat(
-        F.lit("Condensation Warning: "), F.col("vehicle_id"),
-        F.lit(" (Temp: "), shown(F.col("cargo_temp")),
-        F.lit("°C, Dew Point: "), shown(F.col("dew_point")),
-        F.lit("°C, Humidity: "), shown(F.col("humidity")), F.lit("%)"),
-    )
+    return _line(
+        F.col("vehicle_id"), " close to its dew point: cargo ", shown(F.col("cargo_temp")),
+        " C, dew point ", shown(F.col("dew_point")), " C, humidity ", shown(F.col("humidity")), " percent",
+    )
 
 
 def vehicle_slot(vehicle: Column) -> Column:

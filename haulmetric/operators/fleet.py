@@ -1,7 +1,6 @@
 """Fleet status: latest state, KPIs, alerts, trails and series over clean events.
 
-The functions take any frame of clean events. Status screens feed them the newest
-`recent_rows` events; the same calls work on the whole table.
+The functions take any frame of clean events and look at all of its rows.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulmetric.functions.numeric import exact_mean, mean_of, scaled
+from haulmetric.functions.numeric import MEAN_DIGITS, counted, exact_mean, total_units
 from haulmetric.functions.predicates import DOOR_OPEN, event_anomaly
 from haulmetric.functions.text import (
     anomaly_message,
@@ -54,14 +53,13 @@ def latest_per_vehicle(events: DataFrame) -> DataFrame:
 def fleet_kpis(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One row: sample size, mean of the latest cargo temperatures, and status counts."""
     has_vehicle = F.col("vehicle_id").isNotNull()
-    units = F.when(has_vehicle, scaled(F.col("cargo_temp"), settings.reading_digits))
-    total, count = F.try_sum(units), F.count(units)
+    reading = F.when(has_vehicle, F.col("cargo_temp"))
     # The limit is compared with the unrounded mean.
-    limit = F.lit(round(settings.fleet_temp_limit * 10**settings.reading_digits))
-    warm = F.coalesce(total > limit * count, F.lit(False))
+    limit = F.lit(round(settings.fleet_temp_limit * 10**MEAN_DIGITS)).cast("decimal(19,0)")
+    warm = F.coalesce(total_units(reading) > limit * counted(reading), F.lit(False))
     kpis = _state_with_counts(events).agg(
         F.coalesce(F.sum("events"), F.lit(0)).alias("sample_events"),
-        mean_of(total, count, settings.reading_digits).alias("avg_cargo_temp"),
+        exact_mean(reading).alias("avg_cargo_temp"),
         F.count_if(has_vehicle & event_anomaly(settings)).alias("active_anomalies"),
         F.count_if(has_vehicle & F.col("condensation_risk")).alias("condensation_risks"),
         F.count_if(has_vehicle & (F.col("door_status") == DOOR_OPEN)).alias("open_doors"),
@@ -115,15 +113,11 @@ def vehicle_ids(events: DataFrame) -> DataFrame:
 
 
 def vehicle_slots(events: DataFrame) -> DataFrame:
-    slots = vehicle_ids(events).withColumn("slot", vehicle_slot(F.col("vehicle_id")))
+    slots = events.select("vehicle_id").dropna().distinct()
+    slots = slots.withColumn("slot", vehicle_slot(F.col("vehicle_id")))
     return slots.withColumn("color", vehicle_colour(F.col("slot")))
 
 
-def default_selection(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The first few vehicle ids, as preselected on the map."""
-    return vehicle_ids(events).limit(settings.default_vehicles)
-
-
 def select_vehicles(events: DataFrame, vehicles: Sequence[str] | DataFrame | None) -> DataFrame:
     """Keep the given vehicles; no selection, or an empty list, keeps all."""
     if isinstance(vehicles, DataFrame):
@@ -159,14 +153,11 @@ def route_trail(
 
 
 def map_center(trail: DataFrame, digits: int = 4) -> DataFrame:
-    # Ten decimals keep a coordinate to a fraction of a millimetre.
     return trail.agg(
-        exact_mean(F.col("lat"), 10, digits).alias("lat"),
-        exact_mean(F.col("lon"), 10, digits).alias("lon"),
+        exact_mean(F.col("lat"), digits).alias("lat"), exact_mean(F.col("lon"), digits).alias("lon")
     )
 
 
-def timeline(events: DataFrame, metric: str, *, ordered: bool = True) -> DataFrame:
-    """One reading per vehicle over time; plotting order is for samples, not whole tables."""
-    series = events.select("timestamp", "vehicle_id", metric)
-    return series.orderBy("timestamp", "vehicle_id") if ordered else series
+def timeline(events: DataFrame, metric: str) -> DataFrame:
+    """One reading per vehicle over time, in plotting order."""
+    return events.select("timestamp", "vehicle_id", metric).orderBy("timestamp", "vehicle_id")

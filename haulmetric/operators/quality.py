@@ -49,14 +49,17 @@ def dedup_stream(
 ) -> DataFrame:
     """Streaming dedup within the watermark; late rows are dropped.
 
-    Streaming dedup has no map-side step: all copies of a key in a micro-batch meet in one
-    task. The first of the two stages therefore also keys on a salt taken from the arrival
-    position, which leaves at most `dedup_salts` rows per key for the second, exact stage.
-    With `dedup_salts=1` there is one stage, and half the state.
+    Mode "exact": per key the row that arrived first, by its place in the bus and whatever the
+    order of reading, as soon as the watermark has passed the key's time. It is one aggregate
+    with one state store, and copies of a hot key are combined map-side before the shuffle.
+    Mode "fast": a key's first copy to be read, emitted at once.
     """
     keys = list(settings.dedup_keys)
     marked = events.withWatermark("timestamp", settings.watermark_delay)
-    if settings.dedup_salts > 1:
-        salt = F.pmod(F.xxhash64(*arrival), F.lit(settings.dedup_salts)).cast("int")
-        marked = marked.withColumn("_salt", salt).dropDuplicates([*keys, "_salt"]).drop("_salt")
-    return marked.dropDuplicates(keys)
+    if settings.dedup_mode == "fast":
+        return marked.dropDuplicates(keys)
+    if settings.dedup_mode != "exact":
+        raise ValueError(f"dedup_mode is exact or fast, not {settings.dedup_mode}")
+    rest = [name for name in events.columns if name not in keys]
+    first = F.min_by(F.struct(*rest), F.struct(*arrival)).alias("_first")
+    return marked.groupBy(*keys).agg(first).select(*keys, "_first.*").select(events.columns)

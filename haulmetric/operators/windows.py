@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmetric.functions.numeric import exact_mean, mean_of, present, rounded, scaled
+from haulmetric.functions.numeric import exact_mean, present, rounded
 from haulmetric.functions.predicates import DOOR_OPEN, window_anomaly
 from haulmetric.schemas import FLAT_GOLD, GOLD
 from haulmetric.settings import DEFAULTS, Settings
@@ -47,7 +46,7 @@ def window_metrics(events: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     Events of the flat payload have no dew point; their windows end at `anomaly_flag`.
     """
     aggregates = [
-        exact_mean(F.col(source), settings.reading_digits).alias(name)
+        exact_mean(F.col(source)).alias(name)
         for name, source in _averaged(events).items()
     ]
     aggregates += [
@@ -61,54 +60,5 @@ def window_metrics(events: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     return _finish(grouped, _gold_columns(events), settings)
 
 
-def window_metrics_by_panes(events: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The same rows in two steps: aggregate each slide once, then combine panes to windows.
-
-    `window_metrics` copies every event into each window it belongs to before aggregating;
-    here only pane totals are copied. Batch only, and worth it when a pane holds many events.
-    The length must be a multiple of the slide, otherwise the direct form is used.
-    """
-    length, slide = _duration(settings.window_length), _duration(settings.window_slide)
-    if length % slide:
-        return window_metrics(events, settings)
-    averaged = _averaged(events)
-    risk = "condensation_risk" in events.columns
-
-    first = []
-    for source in averaged.values():
-        units = scaled(F.col(source), settings.reading_digits)
-        first += [
-            F.try_sum(units).alias(f"{source}_total"),
-            F.count(units).alias(f"{source}_count"),
-        ]
-    first += [
-        F.max(present(F.col("vibration"))).alias("vibration"),
-        F.count_if(F.col("door_status") == DOOR_OPEN).alias("doors"),
-    ]
-    if risk:
-        first.append(F.count_if("condensation_risk").alias("risks"))
-    pane = F.window("timestamp", settings.window_slide).alias("pane")
-    panes = events.groupBy(pane, "vehicle_id").agg(*first).withColumn("pane", F.col("pane.start"))
-
-    second = [
-        mean_of(
-            F.try_sum(f"{source}_total"), F.sum(f"{source}_count"), settings.reading_digits
-        ).alias(name)
-        for name, source in averaged.items()
-    ]
-    second += [_max_vibration().alias("max_vibration"), F.sum("doors").alias("door_open_count")]
-    if risk:
-        second.append(F.sum("risks").alias("condensation_risk_count"))
-    window = F.window("pane", settings.window_length, settings.window_slide)
-    grouped = panes.groupBy(window.alias("window"), "vehicle_id").agg(*second)
-    return _finish(grouped, _gold_columns(events), settings)
-
-
-def _duration(text: str) -> timedelta:
-    """`"10 seconds"`, `"1 minute"`, ... as a timedelta."""
-    number, unit = text.split()
-    return timedelta(**{unit.rstrip("s") + "s": int(number)})
-
-
 def anomaly_windows(gold: DataFrame) -> DataFrame:
     return gold.filter(F.col("anomaly_flag"))

@@ -1,9 +1,8 @@
-"""Catalog work: create the layer tables, list their columns, list their files."""
+"""Catalog work: create the layer tables and list their columns."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from haulmetric.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS
 from haulmetric.settings import DEFAULTS, Settings
@@ -35,47 +34,11 @@ def bootstrap_tables(spark: SparkSession, settings: Settings = DEFAULTS) -> list
 
 
 def schema_explorer(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
-    """(layer, position, column, type, total_rows) of each layer whose view or table exists."""
-    frames = []
-    for layer, name in layers.items():
-        if not spark.catalog.tableExists(name):
-            continue
-        table = spark.table(name)
-        columns = F.array(
-            *[
-                F.struct(
-                    F.lit(position).alias("position"),
-                    F.lit(field.name).alias("column"),
-                    F.lit(field.dataType.simpleString()).alias("type"),
-                )
-                for position, field in enumerate(table.schema.fields)
-            ]
-        )
-        counted = table.agg(F.count(F.lit(1)).alias("total_rows"))
-        frames.append(
-            counted.select(F.lit(layer).alias("layer"), F.inline(columns), "total_rows")
-        )
-    if not frames:
-        return spark.createDataFrame([], "layer string, position int, column string, type string, total_rows bigint")
-    listing = frames[0]
-    for frame in frames[1:]:
-        listing = listing.unionByName(frame)
-    return listing
-
-
-def layer_history(table: DataFrame, k: int = 10, since: str | None = None) -> DataFrame:
-    """The newest k files of a table: when each was written, its size and its rows.
-
-    Takes the frame a table was read into. Only the hidden metadata column is used, so the
-    scan reads file footers and no data; with `since`, older files are not even opened.
-    """
-    if since:
-        table = table.filter(
-            F.col("_metadata.file_modification_time") >= F.lit(since).cast("timestamp")
-        )
-    files = table.groupBy(
-        F.col("_metadata.file_modification_time").alias("written_at"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
-    return files.orderBy(F.col("written_at").desc(), "file_path").limit(k)
+    """(layer, position, column, type) of each layer whose view or table exists."""
+    rows = [
+        (layer, position, field.name, field.dataType.simpleString())
+        for layer, name in layers.items()
+        if spark.catalog.tableExists(name)
+        for position, field in enumerate(spark.table(name).schema.fields)
+    ]
+    return spark.createDataFrame(rows, "layer string, position int, column string, type string")

@@ -37,13 +37,13 @@ def build_gold(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def write_layers(spark: SparkSession, bronze: DataFrame, settings: Settings) -> None:
     """Write all three layers; each is built from the stored one before it."""
     table_format = settings.table_format
-    write_table(bronze, settings.bronze_path, table_format=table_format)
-    stored = read_table(spark, settings.bronze_path, ENVELOPE, table_format)
+    write_table(bronze, settings.place("bronze_path"), table_format=table_format)
+    stored = read_table(spark, settings.place("bronze_path"), ENVELOPE, table_format)
     write_table(
         build_silver(stored, settings),
-        settings.silver_path,
+        settings.place("silver_path"),
         partition_by=LAYER_PARTITIONS["silver"],
         table_format=table_format,
     )
-    stored = read_table(spark, settings.silver_path, SILVER, table_format)
-    write_table(build_gold(stored, settings), settings.gold_path, table_format=table_format)
+    stored = read_table(spark, settings.place("silver_path"), SILVER, table_format)
+    write_table(build_gold(stored, settings), settings.place("gold_path"), table_format=table_format)

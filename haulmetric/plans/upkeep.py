@@ -21,14 +21,15 @@ from haulmetric.settings import DEFAULTS, Settings
 from haulmetric.sources.tables import read_table
 
 
-def stored_bytes(table: DataFrame) -> int:
-    """Size of the files behind a table, from file metadata alone."""
-    files = table.select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
-    ).distinct()
-    # No data is read, so a task can take any number of files: as many tasks as cores do.
-    with session_conf(table.sparkSession, {"spark.sql.files.maxPartitionBytes": str(1 << 50)}):
-        return files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a folder, one row per file: their contents are not read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "part-*")
+        .load(path)
+    )
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 def compact(
@@ -69,7 +70,7 @@ def cluster_by_time(
     table is spread over many tasks, and a small one stays in one file.
     """
     table = read_table(spark, source, schema, settings.table_format)
-    pieces = max(1, math.ceil(stored_bytes(table) / settings.target_file_bytes))
+    pieces = max(1, math.ceil(stored_bytes(spark, source) / settings.target_file_bytes))
     order = [*partition_by, time]
     writer = (
         table.repartitionByRange(pieces, *order)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -81,14 +82,17 @@ def state_conf(spark: SparkSession, settings: Settings = DEFAULTS) -> dict[str,
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder all executors can reach, removed when the session's JVM ends.
 
-    It lies below the shared folder the cluster names in `spark.checkpoint.dir`; only a
-    session without that setting (a local test) gets a machine-local folder.
+    It lies below the shared folder the cluster names in `spark.checkpoint.dir`. Only a local
+    session may lack that setting and gets a machine-local folder; elsewhere executors would
+    write to disks that nobody else sees, so that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    else:
+    elif re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         path = tempfile.mkdtemp(prefix=f"{label}-")
+    else:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     jvm = spark.sparkContext._jvm
     location = jvm.org.apache.hadoop.fs.Path(path)
     files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import configparser
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from pathlib import Path
+from typing import get_args, get_origin, get_type_hints
 
 CONFIG_DIR = Path(__file__).resolve().parent.parent / "config"
 
@@ -17,16 +19,16 @@ class Settings:
     topic: str = "fleet-telemetry"
     starting_offsets: str = "latest"
 
-    # layer locations, catalog names and checkpoints
-    bronze_path: str = "warehouse/bronze"
-    silver_path: str = "warehouse/silver"
-    gold_path: str = "warehouse/gold"
+    # layer locations, catalog names and checkpoints; places have no default, see `place`
+    bronze_path: str = ""
+    silver_path: str = ""
+    gold_path: str = ""
     bronze_table: str = "telemetry.bronze"
     silver_table: str = "telemetry.silver"
     gold_table: str = "telemetry.gold"
-    bronze_checkpoint: str = "warehouse/_checkpoints/bronze"
-    silver_checkpoint: str = "warehouse/_checkpoints/silver"
-    gold_checkpoint: str = "warehouse/_checkpoints/gold"
+    bronze_checkpoint: str = ""
+    silver_checkpoint: str = ""
+    gold_checkpoint: str = ""
     table_format: str = "parquet"
 
     # event time
@@ -43,11 +45,12 @@ class Settings:
     max_offsets_per_trigger: int | None = None
     state_partitions: int | None = None
     state_store: str | None = "rocksdb"
-    # One (vehicle, time) key can be most of a micro-batch; see operators.quality.
-    dedup_salts: int = 256
+    # "exact" keeps the first arrival and waits for the watermark; "fast" emits at once.
+    dedup_mode: str = "exact"
 
-    # Tasks that write rows of one partition value in a micro-batch; see streaming.sinks.
-    partition_writers: int = 16
+    # Tasks that write rows of one partition value in a micro-batch, none for one per shuffle
+    # partition; see streaming.sinks.
+    partition_writers: int | None = None
 
     # thresholds; every comparison is strict
     cargo_limit: float = 8.0
@@ -55,19 +58,25 @@ class Settings:
     condensation_gap: float = 2.0
     fleet_temp_limit: float = 6.0
 
-    # decimal digits kept before an average is taken, see functions.numeric
-    reading_digits: int = 3
-
     # reports
     recent_rows: int = 500
     trail_length: int = 15
-    default_vehicles: int = 6
 
     # upkeep
     target_file_bytes: int = 256 * 1024 * 1024
 
+    def place(self, field: str) -> str:
+        """A layer path or checkpoint; it must be a URI or an absolute path.
+
+        A relative one would be the working folder of whatever process looks at it.
+        """
+        found = getattr(self, field)
+        if not (found.startswith("/") or "://" in found or found.startswith("file:/")):
+            raise ValueError(f"{field} must be a URI or an absolute path, not {found!r}")
+        return found
+
     def layer_paths(self) -> dict[str, str]:
-        return {"bronze": self.bronze_path, "silver": self.silver_path, "gold": self.gold_path}
+        return {layer: self.place(f"{layer}_path") for layer in ("bronze", "silver", "gold")}
 
     def layer_tables(self) -> dict[str, str]:
         return {"bronze": self.bronze_table, "silver": self.silver_table, "gold": self.gold_table}
@@ -108,23 +117,52 @@ _INI_FIELDS = {
 }
 
 
-def load_settings(base: Settings = DEFAULTS) -> Settings:
-    """Read `pipeline.ini` and `storage.ini`.
+def load_settings(base: Settings = DEFAULTS, overrides: Sequence[str] = ()) -> Settings:
+    """Read `pipeline.ini` and `storage.ini`, then apply `overrides` ("field=value").
 
     `CONFIG_DIR` names the folder; `PIPELINE_CONFIG_PATH` and `STORAGE_CONFIG_PATH` name
-    single files and win over it. Options that are not given keep their default, and
-    credentials are never read here: they belong to the cluster's own configuration.
+    single files and win over it. A file or folder that is named but absent is an error: with
+    the defaults, tables and checkpoints would start anew somewhere else. Every field can be
+    given by its name in a section [settings]. `root` in [storage], or `WAREHOUSE_ROOT`, puts all
+    layers and checkpoints below one folder. Options that are not given keep their default,
+    and credentials are never read here: they belong to the cluster's own configuration.
     """
     folder = Path(os.environ.get("CONFIG_DIR", CONFIG_DIR))
-    files = [
-        os.environ.get("PIPELINE_CONFIG_PATH", folder / "pipeline.ini"),
-        os.environ.get("STORAGE_CONFIG_PATH", folder / "storage.ini"),
-    ]
+    if "CONFIG_DIR" in os.environ and not folder.is_dir():
+        raise FileNotFoundError(f"CONFIG_DIR names no folder: {folder}")
     parser = configparser.ConfigParser(interpolation=None)
-    parser.read(files, encoding="utf-8")
+    for variable, name in (("PIPELINE_CONFIG_PATH", "pipeline.ini"), ("STORAGE_CONFIG_PATH", "storage.ini")):
+        path = Path(os.environ.get(variable, folder / name))
+        if not parser.read(path, encoding="utf-8") and variable in os.environ:
+            raise FileNotFoundError(f"{variable} names no file: {path}")
+    if root := os.environ.get("WAREHOUSE_ROOT") or parser.get("storage", "root", fallback=None):
+        base = base.at(root)
     found = {
         field: parser.get(section, option)
         for (section, option), field in _INI_FIELDS.items()
         if parser.has_option(section, option)
     }
-    return replace(base, **found)
+    if parser.has_section("settings"):
+        found |= dict(parser.items("settings"))
+    for text in overrides:
+        field, equals, value = text.partition("=")
+        if not equals:
+            raise ValueError(f"not of the form field=value: {text}")
+        found[field.strip()] = value.strip()
+    return replace(base, **{field: _parsed(field, value) for field, value in found.items()})
+
+
+def _parsed(field: str, text: str) -> object:
+    """Text as the type of a field; lists are separated by `|`, and `none` clears an optional."""
+    kinds = get_type_hints(Settings)
+    if field not in kinds:
+        raise ValueError(f"no setting is called {field}")
+    kind = kinds[field]
+    options = get_args(kind)
+    if type(None) in options:
+        if text.lower() == "none":
+            return None
+        kind = next(k for k in options if k is not type(None))
+    if get_origin(kind) is tuple:
+        return tuple(part.strip() for part in text.split("|"))
+    return kind(text)

@@ -34,8 +34,8 @@ def open_bus(
     The Kafka source needs its connector on the classpath. Any other source that delivers
     the same columns is named by `source_format` and `options`.
     """
-    chosen = bus_options(settings) if options is None else options
-    reader = spark.readStream.format(source_format).options(**chosen)
+    chosen = bus_options(settings) if source_format == "kafka" else {}
+    reader = spark.readStream.format(source_format).options(**(chosen | dict(options or {})))
     if source_format != "kafka":
         reader = reader.schema(ENVELOPE)
     return reader.load()

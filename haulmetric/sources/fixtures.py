@@ -1,8 +1,9 @@
 """Deterministic telemetry derived from an `events` table.
 
 Used by the registered queries and the tests. Time is compressed so that one-minute windows
-fill up, users fold into five vehicles, and a few rows are made unusable on purpose: no
-vehicle, a time in another pattern, or a body that is not JSON.
+fill up, users fold into thirteen vehicles on three partitions, and a few rows are made unusable
+on purpose: no vehicle, a time in another pattern, or a body that is not JSON. Readings have up
+to five decimals and some are missing; one vehicle has no number, and one falls silent.
 """
 
 from __future__ import annotations
@@ -11,15 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from haulmetric.operators.decode import decode_nested
-from haulmetric.operators.quality import first_arrival, is_valid
 from haulmetric.sources.bus import nested_body
-from haulmetric.sources.tables import spread
 
 TOPIC = "fleet-telemetry"
 EPOCH_MICROS = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
 TIME_COMPRESSION = 120
-REDELIVERY_SHIFT = 1 << 40
 
 EVENTS = T.StructType(
     [
@@ -34,7 +31,7 @@ EVENTS = T.StructType(
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 # Columns as SQL: one call to the JVM each, where a chain of column functions makes dozens.
@@ -43,7 +40,15 @@ _SECOND = (
     f"{EPOCH_MICROS // 1_000_000} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_MICROS})"
     f" div {TIME_COMPRESSION * 1_000_000}"
 )
-_VEHICLE = "concat('TRK-CHI-', lpad(cast(user_id % 5 + 1 AS string), 4, '0'))"
+# Vehicle 12 is silent from the tenth day on; the thirteenth has no number.
+_NUMBER = "if(user_id % 13 = 11 AND ts >= timestamp_ntz'2024-01-10', 1, user_id % 13 + 1)"
+_VEHICLE = (
+    f"if({_NUMBER} = 13, 'TRK-CHI-SPARE', "
+    f"concat('TRK-CHI-', lpad(cast({_NUMBER} AS string), 4, '0')))"
+)
+_CARGO = (
+    "1.5D + floor(value / 5) * 0.25D + event_id % 11 * 0.00046D + if(user_id % 13 IN (2, 5), 7.0D, 0.0D)"
+)
 
 
 def readings(events: DataFrame) -> DataFrame:
@@ -54,8 +59,8 @@ def readings(events: DataFrame) -> DataFrame:
         f"timestamp_seconds({_SECOND}) AS event_time",
         f"if(event_id % 97 = 0, null, {_VEHICLE}) AS vehicle_id",
         f"15.0D + {_K} * 0.25D AS ambient_temp",
-        "1.5D + floor(value / 5) * 0.25D AS cargo_temp",
-        "cast(10 + event_id * 7 % 86 AS double) AS humidity",
+        f"if(event_id % 59 = 0, null, {_CARGO}) AS cargo_temp",
+        "cast(if(user_id % 3 = 0, 92 + event_id % 5, 10 + event_id * 7 % 86) AS double) AS humidity",
         "event_id * 7 % 26 * 0.125D AS vibration",
         f"if(event_type = 'error' AND {_K} < 10, 'OPEN', 'CLOSED') AS door_status",
         "if(event_id % 53 = 0, null, 41.5D + event_id % 512 / 1024.0D) AS latitude",
@@ -69,7 +74,7 @@ def _envelope(rows: DataFrame, body: Column) -> DataFrame:
         "cast(null AS binary) AS key",
         "if(event_id % 89 = 0, cast('{bad json' AS binary), _body) AS value",
         f"'{TOPIC}' AS topic",
-        "0 AS partition",
+        "cast(event_id % 3 AS int) AS partition",
         "event_id AS offset",
         "broker_time AS timestamp",
         "0 AS timestampType",
@@ -101,28 +106,3 @@ def flat_envelope(events: DataFrame) -> DataFrame:
              'Door_Status', door_status)) AS binary)"""
     )
     return _envelope(readings(events), body)
-
-
-def redelivered_envelope(events: DataFrame) -> DataFrame:
-    """Every first arrival and every unusable envelope, each delivered twice.
-
-    An at-least-once bus repeats whole messages. With such repeats the outcome of a streamed
-    dedup does not depend on which copy a task happens to read first, so the stream may be
-    fed by any number of files.
-    """
-    envelope = nested_envelope(events)
-    keys = decode_nested(envelope, keep=envelope.columns, renamed={"timestamp": "broker_time"})
-    valid = is_valid("vehicle_id", "timestamp")
-    # Unusable rows have no usable key: give each its own, so that none is taken as a copy.
-    ranked = first_arrival(
-        keys.withColumn("_single", F.when(~valid, F.struct("partition", "offset"))),
-        ("vehicle_id", "timestamp", "_single"),
-    )
-    return ranked.select(
-        "key", "value", "topic", "partition",
-        F.explode(
-            F.array(F.col("offset"), F.col("offset") + F.lit(REDELIVERY_SHIFT))
-        ).alias("offset"),
-        F.col("broker_time").alias("timestamp"),
-        "timestampType",
-    )

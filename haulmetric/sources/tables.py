@@ -20,21 +20,6 @@ def read_table(
     return spark.read.schema(schema).format(table_format).load(path).select(schema.names)
 
 
-# At the default split size of 128 MB this is 1 GB.
-SPREAD_SPLITS = 8
-
-
-def spread(frame: DataFrame, max_splits: int = SPREAD_SPLITS) -> DataFrame:
-    """Deal the rows of a scan with very few splits out to all cores.
-
-    Decoding costs far more than reading, and a small file of one row group is one split. A
-    scan with more than `max_splits` is left alone, so a large table is never shuffled here.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    splits = frame.rdd.getNumPartitions()
-    return frame.repartition(cores) if splits < cores and splits <= max_splits else frame
-
-
 def stream_table(
     spark: SparkSession, path: str, schema: T.StructType, settings: Settings = DEFAULTS
 ) -> DataFrame:

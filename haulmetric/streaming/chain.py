@@ -36,7 +36,7 @@ def start_bronze(
     bus: DataFrame, settings: Settings = DEFAULTS, *, continuous: bool = False
 ) -> StreamingQuery:
     return append_to_path(
-        bus, settings.bronze_path, settings.bronze_checkpoint,
+        bus, settings.place("bronze_path"), settings.place("bronze_checkpoint"),
         settings=settings, continuous=continuous, name="bronze" if continuous else None,
     )
 
@@ -44,9 +44,9 @@ def start_bronze(
 def start_silver(
     spark: SparkSession, settings: Settings = DEFAULTS, *, continuous: bool = False
 ) -> StreamingQuery:
-    bronze = stream_table(spark, settings.bronze_path, ENVELOPE, settings)
+    bronze = stream_table(spark, settings.place("bronze_path"), ENVELOPE, settings)
     return append_to_path(
-        silver_stream(bronze, settings), settings.silver_path, settings.silver_checkpoint,
+        silver_stream(bronze, settings), settings.place("silver_path"), settings.place("silver_checkpoint"),
         settings=settings, partition_by=LAYER_PARTITIONS["silver"],
         continuous=continuous, name="silver" if continuous else None,
     )
@@ -55,9 +55,9 @@ def start_silver(
 def start_gold(
     spark: SparkSession, settings: Settings = DEFAULTS, *, continuous: bool = False
 ) -> StreamingQuery:
-    silver = stream_table(spark, settings.silver_path, SILVER, settings)
+    silver = stream_table(spark, settings.place("silver_path"), SILVER, settings)
     return append_to_path(
-        gold_stream(silver, settings), settings.gold_path, settings.gold_checkpoint,
+        gold_stream(silver, settings), settings.place("gold_path"), settings.place("gold_checkpoint"),
         settings=settings, continuous=continuous, name="gold" if continuous else None,
     )
 

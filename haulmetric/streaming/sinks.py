@@ -12,14 +12,18 @@ from haulmetric.session import session_conf, state_conf, storage_conf
 from haulmetric.settings import DEFAULTS, Settings
 
 
-def gathered(frame: DataFrame, partition_by: Sequence[str], writers: int) -> DataFrame:
+def gathered(frame: DataFrame, partition_by: Sequence[str], writers: int | None) -> DataFrame:
     """Bring the rows of each partition value to a few tasks before a partitioned sink.
 
     Otherwise every task of the stage before it opens a file per value: tasks x values small
-    files in each micro-batch. A value still has up to `writers` tasks, so that one with much
-    of the batch is not written by a single one. (Batch writes leave this to adaptive
-    execution, which stateful streams do not have.)
+    files in each micro-batch. A value still has up to `writers` tasks, by default as many as
+    the shuffle has, so that one with most of the batch is written by all of them. (Batch writes
+    leave this to adaptive execution, which stateful streams do not have.)
     """
+    if writers is None:
+        spark = frame.sparkSession
+        default = spark.sparkContext.defaultParallelism
+        writers = int(spark.conf.get("spark.sql.shuffle.partitions", str(default)))
     share = F.pmod(F.xxhash64(*frame.columns), F.lit(writers))
     return frame.repartition(*partition_by, share)
 

@@ -6,17 +6,24 @@ clean rows and the windows as common table expressions.
 
 from __future__ import annotations
 
+import zlib
+
 # Typed readings per event, and the message bodies made of them.
 RAW = """
 raw AS (
   SELECT event_id, ts AS broker_time, event_type,
          TIMESTAMP '2024-01-01'
            + to_seconds((epoch_us(ts) - 1704067200000000) // 120000000) AS t,
-         CASE WHEN event_id % 97 <> 0
-              THEN 'TRK-CHI-' || lpad(CAST(user_id % 5 + 1 AS VARCHAR), 4, '0') END AS v,
+         CASE WHEN event_id % 97 = 0 THEN NULL
+              WHEN user_id % 13 = 12 THEN 'TRK-CHI-SPARE'
+              WHEN user_id % 13 = 11 AND ts >= TIMESTAMP '2024-01-10' THEN 'TRK-CHI-0001'
+              ELSE 'TRK-CHI-' || lpad(CAST(user_id % 13 + 1 AS VARCHAR), 4, '0') END AS v,
          15.0::DOUBLE + CAST(json_extract_string(props, '$.k') AS INT) * 0.25::DOUBLE AS ambient,
-         1.5::DOUBLE + floor(value / 5) * 0.25::DOUBLE AS cargo,
-         CAST(10 + event_id * 7 % 86 AS DOUBLE) AS hum,
+         CASE WHEN event_id % 59 <> 0 THEN
+           1.5::DOUBLE + floor(value / 5) * 0.25::DOUBLE + (event_id % 11) * 0.00046::DOUBLE
+           + CASE WHEN user_id % 13 IN (2, 5) THEN 7.0::DOUBLE ELSE 0.0::DOUBLE END END AS cargo,
+         CAST(CASE WHEN user_id % 3 = 0 THEN 92 + event_id % 5 ELSE 10 + event_id * 7 % 86 END
+              AS DOUBLE) AS hum,
          (event_id * 7 % 26) * 0.125::DOUBLE AS vib,
          CASE WHEN event_type = 'error' AND CAST(json_extract_string(props, '$.k') AS INT) < 10
               THEN 'OPEN' ELSE 'CLOSED' END AS door,
@@ -41,7 +48,9 @@ body AS (
               ELSE '"latitude":' || CAST(lat AS VARCHAR)
                    || ',"longitude":' || CAST(lon AS VARCHAR) || ',' END
       || '"origin":"North Depot","destination":"South Hub"},"telemetry":{"ambientTempC":'
-      || CAST(ambient AS VARCHAR) || ',"cargoContainerTempC":' || CAST(cargo AS VARCHAR)
+      || CAST(ambient AS VARCHAR)
+      || CASE WHEN cargo IS NULL THEN ''
+              ELSE ',"cargoContainerTempC":' || CAST(cargo AS VARCHAR) END
       || ',"relativeHumidityPct":' || CAST(hum AS VARCHAR)
       || ',"vibrationG":' || CAST(vib AS VARCHAR)
       || ',"doorStatus":"' || door || '"}}'
@@ -50,7 +59,7 @@ body AS (
       '{"Timestamp":"' || strftime(t, '%Y-%m-%dT%H:%M:%SZ') || '",'
       || CASE WHEN v IS NULL THEN '' ELSE '"Vehicle_ID":"' || v || '",' END
       || '"Ambient_Temp":' || CAST(ambient AS VARCHAR)
-      || ',"Cargo_Temp":' || CAST(cargo AS VARCHAR)
+      || CASE WHEN cargo IS NULL THEN '' ELSE ',"Cargo_Temp":' || CAST(cargo AS VARCHAR) END
       || ',"Humidity":' || CAST(hum AS VARCHAR)
       || ',"Vibration":' || CAST(vib AS VARCHAR)
       || ',"Door_Status":"' || door || '"}'
@@ -100,7 +109,7 @@ SILVER = f"""{MEASURED},
 silver AS (
   SELECT {_SILVER_COLUMNS}
   FROM measured
-  QUALIFY row_number() OVER (PARTITION BY v, t ORDER BY event_id) = 1
+  QUALIFY row_number() OVER (PARTITION BY v, t ORDER BY event_id % 3, event_id) = 1
 )"""
 
 FLAT_SILVER = f"""{RAW},
@@ -108,18 +117,21 @@ flat_silver AS (
   SELECT t AS "timestamp", v AS vehicle_id, ambient AS ambient_temp, cargo AS cargo_temp,
          hum AS humidity, vib AS vibration, door AS door_status, {_DELTA} AS temp_delta
   FROM raw WHERE event_id % 89 <> 0 AND v IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY v, t ORDER BY event_id) = 1
+  QUALIFY row_number() OVER (PARTITION BY v, t ORDER BY event_id % 3, event_id) = 1
 )"""
 
 
-def _mean(column: str, unit: int = 1000, digits: int = 2) -> str:
-    """Half-up rounded mean in whole-number arithmetic; `unit` makes the values whole."""
-    total = f"sum(CAST(round({column} * {unit}) AS BIGINT))"
-    count = f"count({column})"
-    power = 10**digits
+def _units(column: str) -> str:
+    """Exact sum in billionths, by way of the digits of decimals."""
+    return f"sum(CAST(replace(CAST(CAST({column} AS DECIMAL(28,9)) AS VARCHAR), '.', '') AS HUGEINT))"
+
+
+def _mean(column: str, digits: int = 2) -> str:
+    """Half-up rounded mean in whole-number arithmetic."""
+    total, count, power, unit = _units(column), f"count({column})", 10**digits, 10**9
     return (
-        f"sign({total}) * ((2 * {power} * abs({total}) + {unit} * {count})"
-        f" // (2 * {unit} * {count})) / {power}.0::DOUBLE + 0.0::DOUBLE"
+        f"CAST(CASE WHEN {count} > 0 THEN sign({total}) * ((2 * {power} * abs({total}) + {unit} * {count})"
+        f" // (2 * {unit} * {count})) END AS DOUBLE) / {power}.0::DOUBLE + 0.0::DOUBLE"
     )
 
 
@@ -151,6 +163,15 @@ gold AS (
 
 GOLD = f"{SILVER},{_gold('silver', True)}"
 FLAT_GOLD = f"{FLAT_SILVER},{_gold('flat_silver', False)}"
+# What a stream has passed on once all rows are read: times that the watermark is behind.
+PASSED = "(SELECT max(t) FROM valid) - INTERVAL 10 SECOND"
+FLAT_PASSED = "(SELECT max(t) FROM raw WHERE event_id % 89 <> 0 AND v IS NOT NULL) - INTERVAL 10 SECOND"
+CHAINED = f"""{SILVER},
+passed AS (SELECT * FROM silver WHERE "timestamp" <= {PASSED}),{_gold('passed', True)},
+closed AS (
+  SELECT * FROM gold
+  WHERE window_end <= (SELECT max("timestamp") FROM passed) - INTERVAL 10 SECOND
+)"""
 CLOSED = f"""{GOLD},
 closed AS (
   SELECT * FROM gold
@@ -177,32 +198,36 @@ latest AS (
 
 _ALL_SILVER = "SELECT * FROM silver"
 _EVENT_ANOMALY = "cargo_temp > 8.0 OR door_status = 'OPEN' OR vibration > 3.0"
+# One colour per slot, in slot order.
 _PALETTE = (
     "['#00d2ff', '#ff6b6b', '#2ed573', '#a55eea', '#fed330', '#ff4b91', '#1dd1a1', '#4b7bec',"
     " '#fa8231', '#26de81']"
 )
-_SLOT = "(CAST(split_part(vehicle_id, '-', 3) AS INT) - 1) % 10"
+# The vehicle without a number takes its slot from a hash that DuckDB lacks.
+_SPARE_SLOT = zlib.crc32(b"TRK-CHI-SPARE") % 10
+_SLOT = (
+    f"coalesce((TRY_CAST(split_part(vehicle_id, '-', 3) AS INT) - 1) % 10, {_SPARE_SLOT})"
+)
 
 
 def _text(column: str) -> str:
     return f"coalesce(CAST({column} AS VARCHAR), 'N/A')"
 
 
-def _status_queries(source: str, base: str, suffix: str) -> dict[str, str]:
-    """Fleet status over the newest events or over all of them."""
-    latest = f"WITH {base},{_latest(source)}"
-    trail = f"""WITH {base},
+def _status_queries() -> dict[str, str]:
+    """Fleet status over all events."""
+    latest = f"WITH {SILVER},{_latest('silver')}"
+    trail = f"""WITH {SILVER},
 trail AS (
   SELECT latitude AS lat, longitude AS lon, vehicle_id, cargo_temp, door_status, vibration,
          condensation_risk, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp",
          {_PALETTE}[{_SLOT} + 1] AS color
   FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY "timestamp" DESC) AS r
-        FROM {source}
-        WHERE vehicle_id IN (SELECT DISTINCT vehicle_id FROM {source} ORDER BY 1 LIMIT 6))
+        FROM silver)
   WHERE r <= 15 AND latitude IS NOT NULL AND longitude IS NOT NULL AND cargo_temp IS NOT NULL
     AND door_status IS NOT NULL AND vibration IS NOT NULL AND condensation_risk IS NOT NULL
 )"""
-    found = {
+    return {
         "latest_per_vehicle": f"{latest} SELECT * EXCLUDE (events) FROM latest",
         "fleet_kpis": f"""{latest}
 SELECT *, CASE WHEN active_anomalies > 0 THEN 'alert' ELSE 'ok' END AS active_anomalies_status,
@@ -214,7 +239,7 @@ FROM (
     count(*) FILTER (WHERE {_EVENT_ANOMALY}) AS active_anomalies,
     count(*) FILTER (WHERE condensation_risk) AS condensation_risks,
     count(*) FILTER (WHERE door_status = 'OPEN') AS open_doors,
-    CASE WHEN sum(CAST(round(cargo_temp * 1000) AS BIGINT)) > 6000 * count(cargo_temp)
+    CASE WHEN {_units("cargo_temp")} > 6000000000 * count(cargo_temp)
          THEN 'alert' ELSE 'ok' END AS cargo_temp_status
   FROM latest)""",
         "active_anomalies": f"""{latest}
@@ -223,24 +248,22 @@ SELECT * EXCLUDE (events) FROM latest WHERE {_EVENT_ANOMALY}""",
 SELECT * EXCLUDE (events) FROM latest WHERE condensation_risk""",
         "alert_feed": f"""{latest}
 SELECT 'anomaly' AS kind, vehicle_id,
-  'Anomaly Alert: ' || vehicle_id || ' (Temp: ' || {_text("cargo_temp")} || '°C, Door: '
-  || {_text("door_status")} || ', Vibration: ' || {_text("vibration")} || 'G)' AS message
+  vehicle_id || ' out of range: cargo ' || {_text("cargo_temp")} || ' C, vibration '
+  || {_text("vibration")} || ' g, door ' || {_text("door_status")} AS message
 FROM latest WHERE {_EVENT_ANOMALY}
 UNION ALL
 SELECT 'condensation', vehicle_id,
-  'Condensation Warning: ' || vehicle_id || ' (Temp: ' || {_text("cargo_temp")}
-  || '°C, Dew Point: ' || {_text("dew_point")} || '°C, Humidity: ' || {_text("humidity")}
-  || '%)'
+  vehicle_id || ' close to its dew point: cargo ' || {_text("cargo_temp")} || ' C, dew point '
+  || {_text("dew_point")} || ' C, humidity ' || {_text("humidity")} || ' percent'
 FROM latest WHERE condensation_risk""",
         "route_trail": f"{trail} SELECT * FROM trail",
         "map_center": f"""{trail}
-SELECT {_mean("lat", 1024, 4)} AS lat, {_mean("lon", 1024, 4)} AS lon FROM trail""",
-        "timeline_cargo": f"""WITH {base}
-SELECT "timestamp", vehicle_id, cargo_temp FROM {source}""",
-        "timeline_vibration": f"""WITH {base}
-SELECT "timestamp", vehicle_id, vibration FROM {source}""",
+SELECT {_mean("lat", 4)} AS lat, {_mean("lon", 4)} AS lon FROM trail""",
+        "timeline_cargo": f"""WITH {SILVER}
+SELECT "timestamp", vehicle_id, cargo_temp FROM silver""",
+        "timeline_vibration": f"""WITH {SILVER}
+SELECT "timestamp", vehicle_id, vibration FROM silver""",
     }
-    return {name + suffix: text for name, text in found.items()}
 
 
 _SAMPLE_COLUMNS = """event_id AS "offset", t AS "timestamp", v AS vehicle_id,
@@ -295,7 +318,7 @@ def oracle_sql() -> dict[str, str]:
     gold_rows = f"WITH {GOLD} SELECT {_GOLD_LIST} FROM gold"
     closed_rows = f"WITH {CLOSED} SELECT {_GOLD_LIST} FROM closed"
     envelope = f"""WITH {BRONZE}
-SELECT 'fleet-telemetry' AS topic, CAST(0 AS INT) AS "partition", event_id AS "offset",
+SELECT 'fleet-telemetry' AS topic, CAST(event_id % 3 AS INT) AS "partition", event_id AS "offset",
        broker_time AS "timestamp" FROM body"""
     texts = {
         # decoding and derived measures
@@ -312,7 +335,7 @@ FROM (SELECT *, event_id % 89 <> 0 AS ok FROM raw)""",
 SELECT {_SAMPLE_COLUMNS} FROM decoded WHERE v IS NULL OR t IS NULL""",
         "dedup_first": f"""WITH {MEASURED}
 SELECT {_SAMPLE_COLUMNS} FROM valid
-QUALIFY row_number() OVER (PARTITION BY v, t ORDER BY event_id) = 1""",
+QUALIFY row_number() OVER (PARTITION BY v, t ORDER BY event_id % 3, event_id) = 1""",
         "temp_delta": f"""WITH {MEASURED}
 SELECT event_id AS "offset", cargo AS cargo_temp, ambient AS ambient_temp, delta AS temp_delta
 FROM measured""",
@@ -326,7 +349,6 @@ FROM measured""",
         "flat_silver": f"WITH {FLAT_SILVER} SELECT * FROM flat_silver",
         # windows
         "window_metrics": gold_rows,
-        "window_metrics_panes": gold_rows,
         "anomaly_windows": gold_rows + " WHERE anomaly_flag",
         "flat_window_metrics": f"WITH {FLAT_GOLD} SELECT * FROM gold",
         # whole-table reports
@@ -348,33 +370,33 @@ FROM silver
 UNION ALL SELECT 'gold', count(*), strftime(max(window_end), '%Y-%m-%d %H:%M:%S'), NULL
 FROM gold""",
         "partition_offsets": """
-SELECT 'fleet-telemetry' AS topic, CAST(0 AS INT) AS "partition", count(*) AS total,
-       max(event_id) AS latest_offset FROM events""",
+SELECT 'fleet-telemetry' AS topic, CAST(event_id % 3 AS INT) AS "partition", count(*) AS total,
+       max(event_id) AS latest_offset FROM events GROUP BY ALL""",
         "layer_feed": f"""WITH {GOLD},{BODY}
-(SELECT 'bronze' AS layer, '[' || strftime(broker_time, '%Y-%m-%d %H:%M:%S') || '] Offset '
-   || event_id || ' | ' || substring(txt, 1, 110) || '...' AS line
- FROM body ORDER BY broker_time DESC, event_id LIMIT 5)
+(SELECT 'bronze' AS layer, 'raw #' || event_id || ' at '
+   || strftime(broker_time, '%Y-%m-%d %H:%M:%S') || ': ' || substring(txt, 1, 110) AS line
+ FROM body ORDER BY broker_time DESC, event_id % 3, event_id LIMIT 5)
 UNION ALL
-(SELECT 'silver', vehicle_id || ' @ ' || strftime("timestamp", '%Y-%m-%d %H:%M:%S')
-   || ' | Cargo: ' || {_text("cargo_temp")} || '°C | Door: ' || {_text("door_status")}
-   || ' | Δ: ' || {_text("temp_delta")} || '°C'
+(SELECT 'silver', 'event of ' || vehicle_id || ' at ' || strftime("timestamp", '%Y-%m-%d %H:%M:%S')
+   || ': cargo ' || {_text("cargo_temp")} || ' C (' || {_text("temp_delta")}
+   || ' to outside), door ' || {_text("door_status")}
  FROM silver ORDER BY "timestamp" DESC, vehicle_id LIMIT 5)
 UNION ALL
-(SELECT 'gold', vehicle_id || ' [' || strftime(window_start, '%H:%M:%S') || ' - '
-   || strftime(window_end, '%H:%M:%S') || '] | Avg Cargo: ' || {_text("avg_cargo_temp")}
-   || '°C | Anomaly: ' || {_text("anomaly_flag")}
+(SELECT 'gold', 'window of ' || vehicle_id || ' from ' || strftime(window_start, '%H:%M:%S')
+   || ' to ' || strftime(window_end, '%H:%M:%S') || ': mean cargo ' || {_text("avg_cargo_temp")}
+   || ' C, flagged ' || {_text("anomaly_flag")}
  FROM gold ORDER BY window_end DESC, vehicle_id LIMIT 5)""",
         # newest-k reports
         "bronze_latest": f"""WITH {BRONZE}
-SELECT txt AS payload, broker_time AS "timestamp", CAST(0 AS INT) AS "partition",
-       event_id AS "offset" FROM body ORDER BY broker_time DESC, event_id LIMIT 5""",
+SELECT txt AS payload, broker_time AS "timestamp", CAST(event_id % 3 AS INT) AS "partition",
+       event_id AS "offset" FROM body ORDER BY broker_time DESC, event_id % 3, event_id LIMIT 5""",
         "payload_preview": f"""WITH {BRONZE}
-SELECT broker_time AS "timestamp", CAST(0 AS INT) AS "partition", event_id AS "offset",
-       substring(txt, 1, 150) AS payload FROM body ORDER BY broker_time DESC, event_id LIMIT 20""",
+SELECT broker_time AS "timestamp", CAST(event_id % 3 AS INT) AS "partition", event_id AS "offset",
+       substring(txt, 1, 150) AS payload FROM body ORDER BY broker_time DESC, event_id % 3, event_id LIMIT 20""",
         "console_raw": f"""WITH {BRONZE}
-SELECT broker_time AS "timestamp", CAST(0 AS INT) AS "partition", event_id AS "offset",
+SELECT broker_time AS "timestamp", CAST(event_id % 3 AS INT) AS "partition", event_id AS "offset",
        substring(txt, 1, 120) AS payload_preview
-FROM body ORDER BY broker_time DESC, event_id LIMIT 10""",
+FROM body ORDER BY broker_time DESC, event_id % 3, event_id LIMIT 10""",
         "silver_latest": f"""WITH {SILVER}
 SELECT "timestamp", vehicle_id, ambient_temp, cargo_temp, temp_delta, door_status
 FROM silver ORDER BY "timestamp" DESC, vehicle_id LIMIT 5""",
@@ -422,19 +444,18 @@ UNION ALL {_retention("gold", "gold", "window_end", "1 HOUR")}""",
         # streams
         "ingest_envelope": envelope,
         "bronze_stream_append": f"""WITH {BRONZE}
-SELECT 'fleet-telemetry' AS topic, CAST(0 AS INT) AS "partition", event_id AS "offset",
+SELECT 'fleet-telemetry' AS topic, CAST(event_id % 3 AS INT) AS "partition", event_id AS "offset",
        broker_time AS "timestamp", txt AS payload FROM body
 UNION ALL
-SELECT 'fleet-telemetry', CAST(0 AS INT), event_id, broker_time, flat_txt FROM body""",
-        "stream_to_table": f"WITH {FLAT_SILVER} SELECT * FROM flat_silver",
+SELECT 'fleet-telemetry', CAST(event_id % 3 AS INT), event_id, broker_time, flat_txt FROM body""",
+        "stream_to_table": f"""WITH {FLAT_SILVER}
+SELECT * FROM flat_silver WHERE "timestamp" <= {FLAT_PASSED}""",
         "stream_dedup_keys": f"""WITH {MEASURED}
 SELECT DISTINCT v AS vehicle_id, t AS "timestamp" FROM valid""",
-        "stream_silver": silver_rows,
+        "stream_silver": silver_rows + f""" WHERE "timestamp" <= {PASSED}""",
         "stream_window_metrics": closed_rows,
         "stream_late_drop": closed_rows,
-        "layers_end_to_end": closed_rows,
+        "layers_end_to_end": f"WITH {CHAINED} SELECT {_GOLD_LIST} FROM closed",
     }
     texts["bronze_latest_stored"] = texts["bronze_latest"]
-    texts.update(_status_queries("recent", RECENT, ""))
-    texts.update(_status_queries("silver", SILVER, "_all"))
-    return texts
+    return texts | _status_queries()

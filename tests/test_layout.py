@@ -9,14 +9,14 @@ from helpers import at, clean, data_files
 from pyspark.sql import functions as F
 
 from haulmetric.plans import upkeep
-from haulmetric.plans.catalog import bootstrap_tables, layer_history, schema_explorer
+from haulmetric.plans.catalog import bootstrap_tables, schema_explorer
 from haulmetric.plans.layers import write_layers
-from haulmetric.plans.reports import CONSOLE_TEMPLATES, partition_offsets, run_sql
+from haulmetric.plans.reports import console, partition_offsets, run_sql, stored_layers
 from haulmetric.schemas import ENVELOPE, LAYER_SCHEMAS, SILVER
 from haulmetric.session import scratch_dir, session_conf
 from haulmetric.settings import DEFAULTS
 from haulmetric.sources import fixtures
-from haulmetric.sources.tables import read_table, register_layers, spread, write_table
+from haulmetric.sources.tables import read_table, register_layers, write_table
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +46,8 @@ def test_layers_read_back_with_their_schemas(spark, lake):
 
 def test_silver_folder_per_vehicle_is_pruned(spark, lake):
     folders = [p.name for p in Path(lake.silver_path).iterdir() if p.is_dir()]
-    assert sorted(folders) == [f"vehicle_id=TRK-CHI-000{i}" for i in range(1, 6)]
+    numbered = [f"vehicle_id=TRK-CHI-{i:04d}" for i in range(1, 13)]
+    assert sorted(folders) == [*numbered, "vehicle_id=TRK-CHI-SPARE"]
     one = read_table(spark, lake.silver_path, SILVER).filter("vehicle_id = 'TRK-CHI-0002'")
     assert one.count() > 0
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -90,7 +91,7 @@ def test_compaction_respects_the_target_size(spark, silver, tmp_path):
     silver.repartition(20).write.parquet(f"{tmp_path}/small")
     total = sum(p.stat().st_size for p in data_files(tmp_path / "small"))
     settings = replace(DEFAULTS, target_file_bytes=total // 4)
-    assert upkeep.stored_bytes(spark.read.parquet(f"{tmp_path}/small")) == total
+    assert upkeep.stored_bytes(spark, f"{tmp_path}/small") == total
     upkeep.compact(spark, f"{tmp_path}/small", f"{tmp_path}/big", SILVER, settings)
     assert 4 <= len(data_files(tmp_path / "big")) <= 6
 
@@ -163,9 +164,54 @@ def test_views_see_rows_appended_later(spark, lake, tmp_path):
     assert run_sql(spark, count, settings).first().n == 2 * first
 
 
-@pytest.mark.parametrize("name", sorted(CONSOLE_TEMPLATES))
-def test_console_templates_run_on_stored_layers(spark, lake, name):
-    assert run_sql(spark, CONSOLE_TEMPLATES[name], lake).count() > 0
+@pytest.mark.parametrize("name", sorted(console()))
+def test_console_reports_run_on_stored_layers(spark, lake, name):
+    assert console()[name](**stored_layers(spark, lake)).count() > 0
+
+
+def test_console_reports_follow_the_settings(spark, lake):
+    layers = stored_layers(spark, lake)
+    strict = console(replace(lake, cargo_limit=-100.0))["anomaly_events"](**layers)
+    assert strict.count() == 50
+
+
+def test_a_missing_layer_is_none(spark, lake, tmp_path):
+    layers = stored_layers(spark, replace(lake, gold_path=f"{tmp_path}/nowhere"))
+    assert layers["gold"] is None and layers["silver"] is not None
+
+
+def test_places_must_be_absolute():
+    with pytest.raises(ValueError, match="bronze_path"):
+        DEFAULTS.layer_paths()
+    with pytest.raises(ValueError, match="gold_checkpoint"):
+        replace(DEFAULTS, gold_checkpoint="warehouse/gold").place("gold_checkpoint")
+
+
+def test_sql_prints_all_rows(spark, capsys):
+    from haulmetric.__main__ import _print
+
+    _print(spark.range(45))
+    assert len(capsys.readouterr().out.splitlines()) == 46
+    _print(spark.range(45), rows=30)
+    assert capsys.readouterr().out.splitlines()[-1] == "... 15 more rows"
+
+
+def test_size_of_a_table_is_found_without_reading_it(spark, lake):
+    before = sum(p.stat().st_size for p in data_files(lake.silver_path))
+    assert upkeep.stored_bytes(spark, lake.silver_path) == before
+
+
+def test_scratch_without_a_shared_folder_is_local_only():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster(), "x")
 
 
 def test_sql_in_mixed_case_column_names(spark, lake):
@@ -187,26 +233,6 @@ def test_bootstrap_is_idempotent(spark, tmp_path):
     assert [name for name, is_key in columns.items() if is_key] == ["vehicle_id"]
 
 
-def test_history_lists_every_file_once(spark, silver, tmp_path):
-    for _ in range(3):
-        silver.coalesce(1).write.mode("append").parquet(f"{tmp_path}/t")
-    rows = layer_history(spark.read.schema(SILVER).parquet(f"{tmp_path}/t")).collect()
-    assert len(rows) == 3 and {r.rows for r in rows} == {silver.count()}
-    assert len(layer_history(spark.read.schema(SILVER).parquet(f"{tmp_path}/t"), k=2).collect()) == 2
-
-
-def test_history_since_skips_older_files(spark, silver, tmp_path):
-    import os
-
-    for _ in range(2):
-        silver.coalesce(1).write.mode("append").parquet(f"{tmp_path}/t")
-    first = data_files(tmp_path / "t")[0]
-    os.utime(first, (1_600_000_000, 1_600_000_000))
-    table = spark.read.schema(SILVER).parquet(f"{tmp_path}/t")
-    assert layer_history(table).count() == 2
-    assert layer_history(table, since="2021-01-01").count() == 1
-
-
 def test_partition_offsets(spark):
     rows = [(None, b"x", "t", p, o, at(0), 0) for p, o in ((0, 5), (0, 9), (1, 3))]
     found = partition_offsets(spark.createDataFrame(rows, ENVELOPE)).collect()
@@ -217,13 +243,3 @@ def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and a.startswith(shared) and b.startswith(shared)
-
-
-def test_only_scans_of_few_splits_are_spread(spark, tmp_path):
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
-    one = spark.read.parquet(f"{tmp_path}/one")
-    assert spread(one).rdd.getNumPartitions() == cores
-    assert spread(one, max_splits=0) is one
-    many = spark.range(100, numPartitions=cores)
-    assert spread(many) is many

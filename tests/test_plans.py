@@ -9,7 +9,7 @@ from helpers import plan_of
 from haulmetric.operators import fleet, newest
 from haulmetric.operators.decode import decode_nested
 from haulmetric.operators.quality import first_arrival, valid_events
-from haulmetric.operators.windows import window_metrics, window_metrics_by_panes
+from haulmetric.operators.windows import window_metrics
 from haulmetric.plans.layers import build_silver
 from haulmetric.plans.reports import layer_heartbeat
 from haulmetric.schemas import ENVELOPE
@@ -18,12 +18,12 @@ from haulmetric.sources.tables import read_table, write_table
 
 # These run streams or write tables before they return a frame.
 STORED = {
-    "register_layers", "bronze_latest_stored", "schema_explorer", "bootstrap_tables", "adhoc_sql", "layer_history",
+    "register_layers", "bronze_latest_stored", "schema_explorer", "bootstrap_tables", "adhoc_sql",
     "silver_partition_counts", "compact_layer", "cluster_by_time", "maintain_layers",
     "ingest_envelope", "bronze_stream_append", "stream_to_table", "stream_dedup_keys",
     "stream_silver", "stream_window_metrics", "stream_late_drop", "layers_end_to_end",
 }
-LAZY = sorted(set(entry.queries()) - STORED)
+LAZY = sorted(set(entry.telemetry_queries()) - STORED)
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +35,7 @@ def bronze(spark, sf_dir, tmp_path_factory):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_query_has_a_cross_join_or_a_python_worker(spark, sf_dir, name):
-    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    plan = plan_of(entry.telemetry_queries()[name](spark, sf_dir))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert operator not in plan
     assert "Scan parquet" in plan
@@ -70,12 +70,6 @@ def test_window_aggregate_has_one_shuffle_and_a_partial_step(silver):
     assert "latitude" not in schema and "humidity" not in schema
 
 
-def test_panes_copy_totals_and_not_events(silver):
-    plan = plan_of(window_metrics_by_panes(silver))
-    expand, pane = plan.index("Expand"), plan.rindex("Exchange hashpartitioning")
-    assert expand < pane
-
-
 def test_latest_state_passes_over_events_with_a_hash_aggregate(silver):
     plan = plan_of(fleet.latest_per_vehicle(silver))
     below = plan[plan.index("Exchange hashpartitioning(vehicle_id#", plan.index("door_status")):]
@@ -130,12 +124,18 @@ def test_heartbeat_reads_two_columns_of_bronze_and_one_of_the_others(bronze, sil
     assert schemas[1] == "timestamp:timestamp"
 
 
-def test_vehicle_filter_on_trail_with_default_selection_is_a_broadcast_of_few_rows(silver):
-    plan = plan_of(fleet.route_trail(silver, fleet.default_selection(silver)))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_trail_query_parses_and_deduplicates_once(spark, sf_dir):
+    plan = plan_of(entry.telemetry_queries()["route_trail"](spark, sf_dir))
+    assert plan.count("from_json") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
 
 
 def test_selection_is_not_broadcast_without_a_size_check(spark, silver):
+    chosen = silver.select("vehicle_id").distinct()
     with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        plan = plan_of(fleet.route_trail(silver, fleet.default_selection(silver)))
+        plan = plan_of(fleet.route_trail(silver, chosen))
         assert "BroadcastHashJoin" not in plan
+
+
+def test_no_query_deals_rows_out_by_the_size_of_its_input(spark, sf_dir):
+    assert "RoundRobin" not in plan_of(entry.telemetry_queries()["silver_events"](spark, sf_dir))

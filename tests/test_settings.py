@@ -1,3 +1,5 @@
+import pytest
+
 from haulmetric.settings import DEFAULTS, load_settings
 
 
@@ -28,3 +30,31 @@ def test_one_folder_for_everything():
         layer: f"s3a://bucket/root/{layer}" for layer in ("bronze", "silver", "gold")
     }
     assert settings.gold_checkpoint == "s3a://bucket/root/_checkpoints/gold"
+
+
+def test_every_field_by_name_and_by_override(monkeypatch, tmp_path):
+    (tmp_path / "pipeline.ini").write_text(
+        "[settings]\nwatermark_delay = 30 seconds\ndedup_keys = vehicle_id | timestamp | offset\n"
+        "cargo_limit = 7.5\nstate_partitions = 64\nmax_files_per_trigger = none\n"
+    )
+    (tmp_path / "storage.ini").write_text("[storage]\nroot = s3a://bucket/lake\n")
+    monkeypatch.setenv("CONFIG_DIR", str(tmp_path))
+    settings = load_settings(overrides=["window_slide=5 seconds", "state_partitions=none"])
+    assert settings.watermark_delay == "30 seconds"
+    assert settings.dedup_keys == ("vehicle_id", "timestamp", "offset")
+    assert (settings.cargo_limit, settings.max_files_per_trigger) == (7.5, None)
+    assert (settings.window_slide, settings.state_partitions) == ("5 seconds", None)
+    assert settings.silver_checkpoint == "s3a://bucket/lake/_checkpoints/silver"
+    for text in ("no_such_field=1", "cargo_limit"):
+        with pytest.raises(ValueError):
+            load_settings(overrides=[text])
+
+
+def test_a_named_but_absent_file_is_an_error(monkeypatch, tmp_path):
+    monkeypatch.setenv("PIPELINE_CONFIG_PATH", str(tmp_path / "typo.ini"))
+    with pytest.raises(FileNotFoundError):
+        load_settings()
+    monkeypatch.delenv("PIPELINE_CONFIG_PATH")
+    monkeypatch.setenv("CONFIG_DIR", str(tmp_path / "nowhere"))
+    with pytest.raises(FileNotFoundError):
+        load_settings()
