@@ -312,6 +312,8 @@ def _links(nodes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
         lists = saved(lists.join(open_, "token"), "lists")
         exact = turn and (turn == join.star_rounds or _few(lists, nodes))
         if exact:
+            # Every pair of a list may come once per match: two matches are asked for at most.
+            lists = lists.withColumn("ell", F.least("ell", F.lit(2)))
             x, y = lists.alias("x"), lists.alias("y")
             found = x.join(
                 y,
