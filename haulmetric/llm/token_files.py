@@ -18,10 +18,12 @@ are ordered by text; repeated rows are all written; an empty table writes no sha
 from __future__ import annotations
 
 import json
-import re
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -216,13 +218,26 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.concatenate([array, np.zeros(size, array.dtype)])
 
 
+class Numbers(dict):
+    """Numbers of pieces; a piece met for the first time gets the next one and is noted."""
+
+    def __init__(self, counter: Iterator[int]):
+        super().__init__()
+        self.counter, self.fresh = counter, []
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = next(self.counter)
+        self.fresh.append((number, piece))
+        return number
+
+
 class Pieces:
     """Ids of texts by way of the ids of their pieces.
 
-    Byte-level pre-tokens never reach over the border before a single space or line feed, nor
-    over one between a letter and the punctuation before a blank; a text's ids are those of the pieces cut there,
-    and a piece is encoded once per task. Texts with other blanks, runs of blanks or the text of
-    an added token are encoded whole.
+    Byte-level pre-tokens never reach over the border before a single space or around a single
+    line feed, so a text's ids are those of the pieces cut there, and a piece is encoded once
+    per worker. Texts with other blanks, runs of blanks or the text of an added token are encoded
+    whole.
     """
 
     def __init__(self, files: Files):
@@ -235,76 +250,83 @@ class Pieces:
         # A space before a word is the first letter of the word's first token.
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.feed = vocabulary["\u010a"]
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.bounds = np.zeros(1 << 16, np.int64)
+        self.counter = count(1)
+        # Pieces that follow a space, and those at the start of a text or line; 0 is the feed.
+        self.spaced, self.bare = Numbers(self.counter), Numbers(self.counter)
+        self.flat = np.full(1, self.feed, np.uint32)
+        self.used = 1
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.sizes[0] = 1
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [self._safe(t) for t in texts]
-        pieces = [_PIECE.findall(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
-        if len(self.index) >= self.most:
+        if len(self.spaced) + len(self.bare) >= self.most:
             self._clear()
-        index = self.index
-        unseen = list(dict.fromkeys(p for own in pieces for p in own if p not in index))
-        if unseen:
-            # Pieces with a space in front are encoded in one go and told apart by their spaces.
-            unseen.sort(key=lambda p: p[0] != " ")
-            spaced = sum(p[0] == " " for p in unseen)
-            flat, sizes = self._together(unseen[:spaced])
-            rest = self._batch(unseen[spaced:])
-            sizes += [len(c) for c in rest]
-            done = len(index)
-            start = int(self.bounds[done])
-            ends = start + np.cumsum(sizes)
-            self.bounds = _grown(self.bounds, done + len(sizes) + 1)
-            self.bounds[done + 1 : done + len(sizes) + 1] = ends
-            self.flat = _grown(self.flat, int(ends[-1]))
-            self.flat[start : start + len(flat)] = flat
-            self.flat[start + len(flat) : ends[-1]] = [i for c in rest for i in c]
-            index.update(zip(unseen, range(done, done + len(unseen)), strict=True))
-        found = [self._joined(own) for own in pieces]
+        plain = [self._safe(t) for t in texts]
+        numbers = [self._numbers(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
+        self._learn(self.spaced, lambda pieces: "".join(f" {p}" for p in pieces), self.opens)
+        feeds = np.zeros(len(self.opens), bool)
+        feeds[self.feed] = True
+        self._learn(self.bare, lambda pieces: "".join(f"\n{p}" for p in pieces), feeds, skip=1)
+        found = [self._joined(np.array(own, np.int64)) for own in numbers]
         whole = [k for k, ok in enumerate(plain) if not ok]
         for k, coded in zip(whole, self._batch([texts[k] for k in whole]), strict=True):
             found[k] = np.array(coded, np.uint32)
         return found
 
-    def _together(self, pieces: list[str]) -> tuple[np.ndarray, list[int]]:
-        """Ids of pieces that each hold one space, in front, and how many each piece has."""
-        if not pieces:
-            return np.empty(0, np.uint32), []
-        ids = np.array(self._batch(["".join(pieces)])[0], np.uint32)
-        starts = np.flatnonzero(self.opens[ids])
+    def _numbers(self, text: str) -> list[int]:
+        out: list[int] = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(self.bare[first])
+            out.extend(map(self.spaced.__getitem__, rest))
+            out.append(0)
+        return out[:-1]
+
+    def _learn(self, numbers: Numbers, together, opens: np.ndarray, skip: int = 0) -> None:
+        """Encode the new pieces in one go; the token that opens each piece tells them apart."""
+        if not numbers.fresh:
+            return
+        at, pieces = zip(*numbers.fresh, strict=True)
+        numbers.fresh.clear()
+        ids = np.array(self._batch([together(pieces)])[0], np.uint32)
+        starts = np.flatnonzero(opens[ids])
         if len(starts) != len(pieces):
             raise AssertionError("pieces and ids do not line up")
-        return ids, np.diff(starts, append=len(ids)).tolist()
+        top = max(at) + 1
+        self.starts, self.sizes = _grown(self.starts, top), _grown(self.sizes, top)
+        where = np.array(at)
+        self.starts[where] = self.used + starts + skip
+        self.sizes[where] = np.diff(starts, append=len(ids)) - skip
+        self.flat = _grown(self.flat, self.used + len(ids))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def _safe(self, text: str) -> bool:
         """Whether all blanks are single spaces and line feeds between words."""
-        alone = text.count(" ") + text.count("\n") + 1
-        return len(text.split()) == alone and not any(a in text for a in self.added)
+        even = " ".join(text.split()) == text.replace("\n", " ")
+        return bool(text) and even and not any(a in text for a in self.added)
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, pieces: list[str]) -> np.ndarray:
-        """Concatenate ranges of the flat ids."""
-        flat, bounds = self.flat, self.bounds
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
-        starts, sizes = bounds[at], bounds[at + 1] - bounds[at]
+    def _joined(self, numbers: np.ndarray) -> np.ndarray:
+        """Concatenate the ids of pieces."""
+        starts, sizes = self.starts[numbers], self.sizes[numbers]
         ends = np.cumsum(sizes)
         steps = np.repeat(starts - ends + sizes, sizes)
-        return flat[steps + np.arange(len(steps))]
+        return self.flat[steps + np.arange(len(steps))]
 
 
-#: A word before punctuation that ends at a blank, that punctuation, a line feed, or anything
-#: up to the next blank.
-_PIECE = re.compile(
-    r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,!?|&*$%#]*(?:[ \n]|\Z))"
-    r"|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])[.,!?|&*$%#]+(?=[ \n]|\Z)|\n| ?[^ \n]+"
-)
+def _of_worker(files: Files) -> Pieces:
+    """The pieces that this Python worker knows; Spark reuses workers between tasks."""
+    memo = sys.modules.setdefault("_token_pieces", ModuleType("_token_pieces"))
+    if getattr(memo, "files", None) != (files.tokenizer, files.cached):
+        memo.files, memo.pieces = (files.tokenizer, files.cached), Pieces(files)
+    return memo.pieces
 
 
 # --- Spark jobs -------------------------------------------------------------------------
@@ -328,7 +350,7 @@ def write_token_files(docs: DataFrame, path: str, files: Files, id_: str = "doc_
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pieces = Pieces(files)
+        pieces = _of_worker(files)
         end = np.array([files.end], np.uint32)
 
         def made() -> Iterator[tuple]:
