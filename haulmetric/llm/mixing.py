@@ -102,7 +102,7 @@ def plan(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
 
     sources: source, source_size, target, blocks (their number). blocks: source, block and
     takings, one for each time it is drawn: pass, shard and whether all of it is taken, or else
-    the spread up to which it is (cut) and single spreads beyond (more).
+    the size and spread down to which it is (cut_size, cut) and single spreads beyond (more).
     """
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = saved(
@@ -142,13 +142,14 @@ def plan(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     )
     cut = saved(_cuts(sized, sources, slots.filter("room < words")), "cuts")
     cut = cut.select(
-        F.col("source").alias("s"), F.col("block").alias("b"), F.col("pass").alias("p"), "cut", "more"
+        F.col("source").alias("s"), F.col("block").alias("b"), F.col("pass").alias("p"),
+        "cut_size", "cut", "more",
     )
     taken = dealt.drop("s").join(cut, F.expr("source <=> s AND block = b AND pass = p"), "left")
     grouped = taken.groupBy("source", "block").agg(
         F.sort_array(
             F.collect_list(
-                F.struct("pass", "shard", "cut", "more", (F.col("room") >= F.col("words")).alias("all"))
+                F.struct("pass", "shard", "cut_size", "cut", "more", (F.col("room") >= F.col("words")).alias("all"))
             )
         ).alias("takings")
     )
@@ -166,19 +167,21 @@ def with_block(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 _CUT = pa.schema(
-    [("source", pa.string()), ("block", pa.int64()), ("pass", pa.int32()), ("cut", pa.int64()),
-     ("more", pa.list_(pa.int64()))]
+    [("source", pa.string()), ("block", pa.int64()), ("pass", pa.int32()), ("cut_size", pa.int64()),
+     ("cut", pa.int64()), ("more", pa.list_(pa.int64()))]
 )
 
 #: Documents taken one by one where the next in order would overshoot.
-FILL = 32
+FILL = 256
 
 
 def _cuts(sized: DataFrame, sources: DataFrame, last: DataFrame) -> DataFrame:
-    """Which documents of the last slot of each source are taken: all up to the spread `cut`,
-    then those in `more`, that still fit.
+    """Which documents of the last slot of each source are taken, so that the slot's words come
+    near what the target still allows.
 
-    One block of each source passes here, about `block_words` words.
+    Large documents come first, so that small ones fill the rest: all down to (cut_size, cut),
+    by size and then by spread, and those in `more` that still fit. One block of each source
+    passes here, about `block_words` words.
     """
     last = last.select(F.col("source").alias("s"), F.col("block").alias("b"), "pass", "room")
     # Rows with one spread are copies, taken together or not at all.
@@ -186,35 +189,37 @@ def _cuts(sized: DataFrame, sources: DataFrame, last: DataFrame) -> DataFrame:
         with_block(sized, sources)
         .join(last, F.expr("source <=> s AND block = b"))
         .groupBy("source", "block", "pass", "room", "spread")
-        .agg(F.sum("size").alias("size"))
+        .agg(F.max("size").alias("one"), F.sum("size").alias("size"))
         .repartition("source")
-        .sortWithinPartitions("source", "spread")
+        .sortWithinPartitions("source", F.col("one").desc(), "spread")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[tuple]:
             key = None
-            for source, block, turn, room, spread, size in rows_of(
-                batches, ("source", "block", "pass", "room", "spread", "size")
+            for source, block, turn, room, spread, one, size in rows_of(
+                batches, ("source", "block", "pass", "room", "spread", "one", "size")
             ):
                 if key != (source, block, turn):
                     if key:
-                        yield *key, cut, more
-                    key, left, cut, more, whole = (source, block, turn), room, None, [], True
+                        yield *key, *cut, more
+                    key, left, cut, more, whole = (source, block, turn), room, (None, None), [], True
                 if size <= left and (whole or len(more) < FILL):
                     left -= size
                     if whole:
-                        cut = spread
+                        cut = one, spread
                     else:
                         more.append(spread)
                 else:
                     whole = False
             if key:
-                yield *key, cut, more
+                yield *key, *cut, more
 
         yield from batched(made(), _CUT)
 
-    return found.mapInArrow(work, "source string, block long, pass int, cut long, more array<long>")
+    return found.mapInArrow(
+        work, "source string, block long, pass int, cut_size long, cut long, more array<long>"
+    )
 
 
 def split(node: int, counts: np.ndarray, left: int, seed: int) -> np.ndarray:
@@ -293,7 +298,10 @@ def takings(sized: DataFrame, mix: Mix) -> DataFrame:
     )
     mine = F.filter(
         "takings",
-        lambda t: t["all"] | (F.col("spread") <= t["cut"]) | F.array_contains(t["more"], F.col("spread")),
+        lambda t: t["all"]
+        | (F.col("size") > t["cut_size"])
+        | ((F.col("size") == t["cut_size"]) & (F.col("spread") <= t["cut"]))
+        | F.array_contains(t["more"], F.col("spread")),
     )
     shards = F.when(F.col("size") > 0, F.transform(mine, lambda t: t["shard"]))
     out = joined.withColumn("shards", F.coalesce(shards, F.array().cast("array<long>")))
