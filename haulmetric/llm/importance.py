@@ -133,7 +133,7 @@ def log_ratios(counts: np.ndarray, how: Resampling) -> np.ndarray:
 
 def gumbel(spread: int) -> float:
     """Standard Gumbel noise from 64 random bits."""
-    uniform = (((spread & MASK64) >> 11) + 0.5) / (1 << 53)
+    uniform = (((spread & MASK64) >> 12) + 0.5) / (1 << 52)
     return -math.log(-math.log(uniform))
 
 
