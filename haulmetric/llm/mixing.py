@@ -29,7 +29,6 @@ from pyspark.sql import Window as W
 from haulmetric.llm.common import (
     batched,
     columns_of,
-    fresh,
     quoted,
     read,
     rows_of,
