@@ -7,8 +7,6 @@ from helpers import body, clean, data_files, envelope
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from haulmetric.operators.decode import decode_nested
-from haulmetric.operators.quality import dedup_stream, valid_events
 from haulmetric.operators.windows import window_metrics
 from haulmetric.plans.catalog import bootstrap_tables
 from haulmetric.plans.layers import build_silver
