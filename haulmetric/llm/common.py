@@ -195,9 +195,11 @@ def window_hashes(codes: np.ndarray, size: int, seed: int = 0x9E3779B97F4A7C15)
 
 
 def rows_of(batches: Iterable[pa.RecordBatch], names: Sequence[str]) -> Iterator[tuple]:
-    """Python values of the named columns, row by row."""
+    """Python values of the named columns, row by row; only a part of a batch is held as such."""
     for batch in batches:
-        yield from zip(*(batch.column(name).to_pylist() for name in names), strict=True)
+        for start in range(0, batch.num_rows, 512):
+            part = batch.slice(start, 512)
+            yield from zip(*(part.column(name).to_pylist() for name in names), strict=True)
 
 
 def batched(

@@ -47,7 +47,7 @@ class Files:
     tokenizer: str
     end: int = 2
     shard_tokens: int = 4_000_000
-    cached: int = 700_000
+    cached: int = 400_000
 
 
 def default_files() -> Files:
@@ -218,6 +218,10 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.concatenate([array, np.zeros(size, array.dtype)])
 
 
+#: Pieces encoded in one call: the library's records of a call are many times its text.
+_LEARN = 8192
+
+
 class Numbers(dict):
     """Numbers of pieces; a piece met for the first time gets the next one and is noted."""
 
@@ -290,8 +294,12 @@ class Pieces:
         """Encode the new pieces in one go; the token that opens each piece tells them apart."""
         if not numbers.fresh:
             return
-        at, pieces = zip(*numbers.fresh, strict=True)
-        numbers.fresh.clear()
+        fresh, numbers.fresh = numbers.fresh, []
+        for start in range(0, len(fresh), _LEARN):
+            self._learn_some(fresh[start : start + _LEARN], together, opens, skip)
+
+    def _learn_some(self, fresh: list[tuple[int, str]], together, opens: np.ndarray, skip: int) -> None:
+        at, pieces = zip(*fresh, strict=True)
         ids = np.array(self._batch([together(pieces)])[0], np.uint32)
         starts = np.flatnonzero(opens[ids])
         if len(starts) != len(pieces):
@@ -356,8 +364,8 @@ def write_token_files(docs: DataFrame, path: str, files: Files, id_: str = "doc_
         def made() -> Iterator[tuple]:
             ids, docs_, total, seq, part = [], [], 0, 0, 0
             for batch in batches:
-                for start in range(0, batch.num_rows, 1024):
-                    block = batch.slice(start, 1024)
+                for start in range(0, batch.num_rows, 256):
+                    block = batch.slice(start, 256)
                     part = block.column("part")[0].as_py() if block.num_rows else part
                     coded = pieces.encode(block.column("text").to_pylist())
                     for id__, own in zip(block.column("id").to_pylist(), coded, strict=True):
