@@ -38,6 +38,7 @@ from haulmetric.llm.common import (
     rows_of,
     saved,
     word_codes,
+    word_spans,
 )
 from haulmetric.llm.ngram_join import bloom, in_bloom
 
@@ -48,20 +49,18 @@ class Lines:
     bloom_bits: int = 26
 
 
-def halves(codes: np.ndarray) -> list[int]:
-    """Keys of which near lines share one.
+def halves(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Keys (four per line) of which near lines share one; a line is a range of codes.
 
     With m words in the shorter of two near lines, their first m // 2 words or the last
     m - m // 2 are equal; a line can be the shorter one or the longer.
     """
-    n = len(codes)
-    starts, ends, salt = [], [], []
-    for m in (n, n - 1):
-        starts += [0, n - (m - m // 2)]
-        ends += [m // 2, n]
-        salt += [2 * m, 2 * m + 1]
-    keys = range_hashes(codes, np.array(starts), np.array(ends))
-    return mixed(keys + np.array(salt, np.uint64)).view(np.int64).tolist()
+    keys = []
+    for m in (last - first, last - first - 1):
+        for side, start, stop in ((0, first, first + m // 2), (1, last - (m - m // 2), last)):
+            salt = (2 * m + side).astype(np.uint64)
+            keys.append(mixed(range_hashes(codes, start, stop) + salt))
+    return np.stack(keys, axis=1).view(np.int64)
 
 
 def variants(codes: np.ndarray) -> np.ndarray:
@@ -80,15 +79,15 @@ def one_edit(a: list[int], b: list[int]) -> bool:
     return a[k + (len(a) == len(b)) :] == b[k + 1 :]
 
 
-def _lines_of(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
-    for number, line in enumerate((text or "").split("\n")):
-        codes = word_codes(line, fold=False)
-        if len(codes):
-            yield number, codes
-
-
-def _whole(codes: np.ndarray) -> int:
-    return int(range_hashes(codes, np.array([0]), np.array([len(codes)])).view(np.int64)[0])
+def lines_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word codes of a text, and of each line with a word: its number, first and last word."""
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    starts, _ = word_spans(raw)
+    codes = word_codes(text, fold=False)
+    feeds = np.concatenate(([0], np.cumsum(raw == 10)))
+    of_word = feeds[starts]
+    first = np.flatnonzero(np.diff(of_word, prepend=-1))
+    return codes, of_word[first], first, np.append(first[1:], len(codes)).astype(np.int64)
 
 
 def _spot(nameless: Column | str, ident: Column | str, line: Column | str) -> Column:
@@ -111,9 +110,17 @@ def line_duplicates(docs: DataFrame, lines: Lines = Lines(), id_: str = "doc_id"
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[tuple]:
             for nameless, ident, body in rows_of(batches, ("nameless", "ident", "text")):
-                for number, codes in _lines_of(body):
-                    keys = halves(codes) if len(codes) >= lines.near_words else None
-                    yield nameless, ident, number, _whole(codes), keys
+                codes, numbers, first, last = lines_of(body)
+                if not len(numbers):
+                    continue
+                whole = range_hashes(codes, first, last).view(np.int64).tolist()
+                keys: list[list[int] | None] = [None] * len(numbers)
+                long = np.flatnonzero(last - first >= lines.near_words)
+                if len(long):
+                    for k, own in zip(long, halves(codes, first[long], last[long]).tolist(), strict=True):
+                        keys[k] = own
+                for number, hash_, own in zip(numbers.tolist(), whole, keys, strict=True):
+                    yield nameless, ident, number, hash_, own
 
         yield from batched(made(), schema)
 
@@ -156,9 +163,14 @@ def _near(source: DataFrame, distinct: DataFrame, lines: Lines) -> DataFrame:
         def made() -> Iterator[tuple]:
             for nameless, ident, body, spots in rows_of(batches, ("nameless", "ident", "text", "spots")):
                 likely = in_bloom(np.array(spots or [], np.int64), bits, lines.bloom_bits)
-                for number, codes in _lines_of(body):
-                    if likely[number] and len(codes) >= lines.near_words:
-                        yield nameless, ident, number, _whole(codes), codes.view(np.int64)
+                if not likely.any():
+                    continue
+                codes, numbers, first, last = lines_of(body)
+                chosen = likely[numbers] & (last - first >= lines.near_words)
+                whole = range_hashes(codes, first, last).view(np.int64)
+                for k in np.flatnonzero(chosen):
+                    own = codes[first[k] : last[k]].view(np.int64)
+                    yield nameless, ident, int(numbers[k]), int(whole[k]), own
 
         yield from batched(made(), schema)
 
