@@ -6,6 +6,8 @@ read again before the next one starts.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from haulmetric.llm.common import read, saved
@@ -13,7 +15,7 @@ from haulmetric.llm.decontaminate import decontaminated
 from haulmetric.llm.mixing import mixed_documents
 from haulmetric.llm.ngram_join import Join, one_per_class
 from haulmetric.llm.quality import quality_rules
-from haulmetric.llm.token_files import token_files
+from haulmetric.llm.token_files import default_files, token_files
 
 #: Near-duplicates here: five-word shingles, similarity 0.8.
 NEAR = Join(size=5, percent=80)
@@ -36,7 +38,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_files(docs)
+    # The workers serve other stages, too.
+    return token_files(docs, replace(default_files(), kept=False))
 
 
 STAGES = [

@@ -42,12 +42,17 @@ _BATCH = 1 << 20
 
 @dataclass(frozen=True)
 class Files:
-    """end: id after each document; shard_tokens: ids in a file; cached: pieces remembered."""
+    """end: id after each document; shard_tokens: ids in a file; cached: pieces remembered.
+
+    kept: whether Python workers keep the pieces between tasks, which is faster and takes some
+    100 MB of each worker until it ends.
+    """
 
     tokenizer: str
     end: int = 2
     shard_tokens: int = 4_000_000
     cached: int = 400_000
+    kept: bool = True
 
 
 def default_files() -> Files:
@@ -331,6 +336,8 @@ class Pieces:
 
 def _of_worker(files: Files) -> Pieces:
     """The pieces that this Python worker knows; Spark reuses workers between tasks."""
+    if not files.kept:
+        return Pieces(files)
     memo = sys.modules.setdefault("_token_pieces", ModuleType("_token_pieces"))
     if getattr(memo, "files", None) != (files.tokenizer, files.cached):
         memo.files, memo.pieces = (files.tokenizer, files.cached), Pieces(files)
