@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from haulmetric.llm.common import (
@@ -257,34 +257,39 @@ def _may_match(x: str, y: str, percent: int) -> Column:
     """Whether a token at its places in two prefixes can be one of the first matches of a pair
     that is similar enough.
 
-    Sizes n and m ask for `least` shared shingles, so of l matches the last lies at most
-    n - least + l - 1 places into either text's order. The tokens of a prefix that no other text
-    holds leave `room` for sharing.
+    Sizes n and m ask for `least` shared shingles. Before a token that is one of the first l
+    matches lie less than l others, and not more than tokens that any other prefix holds too:
+    what comes earlier in a prefix and in no other is not in the partner, whose prefix reaches
+    up to the match. Tokens behind the match may be in the partner behind its prefix.
     """
     at = lambda side, name: F.col(f"{side}{name}")
     n, m = at(x, "n"), at(y, "n")
     least = F.ceil((n + m) * percent / F.lit(100 + percent))
-    more = F.least(at(x, "ell"), at(y, "ell")) - 1
-    return (
-        (F.least(at(x, "room"), at(y, "room")) >= least)
-        & (at(x, "pos") <= n - least + more)
-        & (at(y, "pos") <= m - least + more)
+    earlier = F.least(
+        F.least(at(x, "ell"), at(y, "ell")) - 1, at(x, "earlier"), at(y, "earlier")
     )
+    return earlier + F.least(n - at(x, "pos"), m - at(y, "pos")) >= least
 
 
 def _active(nodes: DataFrame) -> DataFrame:
-    """Postings (token, node, pos, n, ell, room) of the tokens that two or more nodes hold.
+    """Postings (token, node, pos, n, ell, earlier, own) of the tokens that two or more nodes hold.
 
-    room: how many shingles of the node another node can hold, which is all but those of its
-    prefix that turned out to be its own.
+    earlier: how many such tokens the node's prefix has before this one; own: how many tokens of
+    its prefix no other prefix holds.
     """
-    postings = nodes.select("node", F.posexplode("prefix").alias("pos", "token"))
+    postings = nodes.select(
+        "node", "n", "ell", F.size("prefix").alias("asked"), F.posexplode("prefix").alias("pos", "token")
+    )
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    active = saved(postings.join(shared.select("token"), "token"), "held")
-    sizes = active.groupBy("node").agg(F.count(F.lit(1)).alias("held"))
-    stats = nodes.select("node", "n", "ell", F.size("prefix").alias("asked")).join(sizes, "node")
-    room = (F.col("n") - F.col("asked") + F.col("held")).cast("int").alias("room")
-    return saved(active.join(stats.select("node", "n", "ell", room), "node"), "active")
+    held = postings.join(shared.select("token"), "token")
+    # One node's tokens: bounded by the length of one text.
+    node = Window.partitionBy("node")
+    return saved(
+        held.withColumn("earlier", F.row_number().over(node.orderBy("pos")) - 1)
+        .withColumn("own", F.col("asked") - F.count(F.lit(1)).over(node).cast("int"))
+        .drop("asked"),
+        "active",
+    )
 
 
 def _links(nodes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
@@ -303,8 +308,8 @@ def _links(nodes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
             )
         # The centre of a list is its least peculiar node, as the original is among its copies;
         # among equals another one each turn.
-        rank = F.struct((F.col("n") - F.col("room")).alias("own"), F.xxhash64("node", F.lit(turn)).alias("r"))
-        entry = F.struct("node", "pos", "n", "ell", "room", "component")
+        rank = F.struct("own", F.xxhash64("node", F.lit(turn)).alias("r"))
+        entry = F.struct("node", "pos", "n", "ell", "earlier", "component")
         open_ = lists.groupBy("token").agg(
             F.min(F.struct(rank.alias("rank"), entry.alias("entry")))["entry"].alias("centre"),
             F.min("component").alias("low"), F.max("component").alias("high"),

@@ -117,3 +117,23 @@ def test_components_of_chains_stars_and_rings(spark):
     assert {got[k] for k in range(61)} == {0}
     assert {got[k] for k in range(100, 140)} == {100}
     assert {got[k] for k in (201, 202, 203)} == {201}
+
+
+def test_copies_with_an_added_or_cut_paragraph_equal_brute_force(spark):
+    rng = random.Random(11)
+    rows = []
+    for _ in range(30):
+        base = corpus.words(rng, rng.choice([60, 103, 200]))
+        at = rng.randrange(len(base))
+        for share in (0.06, 0.1, 0.13, 0.2):
+            more = corpus.words(rng, int(len(base) * share))
+            rows.append((len(rows), " ".join(base[:at] + more + base[at:]), "en", "a"))
+        rows.append((len(rows), " ".join(base), "en", "a"))
+        rows.append((len(rows), " ".join(base[: int(len(base) * 0.9)]), "en", "a"))
+    for _ in range(20):
+        # Two nested texts, alone with their words.
+        base = corpus.words(rng, 103)
+        rows += [(len(rows), " ".join(base), "en", "a"), (len(rows) + 1, " ".join(base + corpus.words(rng, 11)), "en", "a")]
+    got = ngram_join.ngram_classes(corpus.frame(spark, rows).repartition(4))
+    found = [(r.id, r.n_shingles, r.component_id) for r in got.collect()]
+    assert sorted(found, key=key) == sorted(brute(rows), key=key)
