@@ -358,6 +358,14 @@ def _few(lists: DataFrame, nodes: DataFrame) -> bool:
 
 def ngram_classes(docs: DataFrame, join: Join = Join(), id_: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: id, key (a hash of the text), n_shingles, component_id."""
+    return _classes(docs, join, id_, text).drop("component")
+
+
+def _classes(docs: DataFrame, join: Join, id_: str, text: str) -> DataFrame:
+    """ngram_classes() and the class itself, `component`: ids can be null or shared by classes.
+
+    It is null where a text is alone because it has no words.
+    """
     source = docs.select(
         quoted(id_).cast("long").alias("id"), quoted(text).cast("string").alias("text")
     )
@@ -375,10 +383,11 @@ def ngram_classes(docs: DataFrame, join: Join = Join(), id_: str = "doc_id", tex
         "component", F.coalesce("component", "node")
     )
     least = member.groupBy("component").agg(F.min("id").alias("component_id"))
-    label = member.join(least, "component").select("sid", "component_id")
+    label = member.join(least, "component").select("sid", "component", "component_id")
     return prints.join(label, "sid", "left").select(
         "id", "key", F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        "component",
     )
 
 
@@ -386,12 +395,14 @@ def one_per_class(docs: DataFrame, join: Join = Join(), id_: str = "doc_id", tex
     """The documents with the least id of each class, one row each, columns as they came.
 
     Of rows with that id, one whose text is in the class stays. A class of null ids keeps one.
+    Texts without words are one class for each id and text.
     """
-    classes = ngram_classes(docs, join, id_, text)
+    classes = _classes(docs, join, id_, text)
+    lone = F.col("component").isNull()
     picks = (
-        classes.groupBy("component_id", F.when(F.col("n_shingles") == 0, F.col("key")).alias("lone"))
-        .agg(F.min_by("key", F.struct(F.col("id").isNull(), "id", "key")).alias("pick_key"))
-        .select(F.col("component_id").alias("pick_id"), "pick_key")
+        classes.groupBy("component", F.when(lone, F.col("id")).alias("lone_id"), F.when(lone, F.col("key")).alias("lone_key"))
+        .agg(F.min_by(F.struct("id", "key"), F.struct(F.col("id").isNull(), "id", "key")).alias("pick"))
+        .select(F.col("pick.id").alias("pick_id"), F.col("pick.key").alias("pick_key"))
         .distinct()
     )
     key, row = fresh(docs, "text_key"), fresh(docs, "row")

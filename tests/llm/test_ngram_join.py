@@ -137,3 +137,16 @@ def test_copies_with_an_added_or_cut_paragraph_equal_brute_force(spark):
     got = ngram_join.ngram_classes(corpus.frame(spark, rows).repartition(4))
     found = [(r.id, r.n_shingles, r.component_id) for r in got.collect()]
     assert sorted(found, key=key) == sorted(brute(rows), key=key)
+
+
+def test_unrelated_texts_without_an_id_or_under_one_id_all_stay(spark):
+    rng = random.Random(12)
+    texts = [corpus.prose(rng, 60) for _ in range(4)]
+    near = texts[0] + " more"
+    rows = [(None, texts[0]), (None, near), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3])]
+    docs = corpus.frame(spark, [(i, t, "en", "a") for i, t in rows]).repartition(3)
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_per_class(docs).collect()]
+    assert len(kept) == 4
+    assert sorted(t for i, t in kept if i == 7) == sorted(texts[2:])
+    loose = {t for i, t in kept if i is None}
+    assert texts[1] in loose and len(loose & {texts[0], near}) == 1
