@@ -7,8 +7,10 @@ is itself a variant lacks that word. Of all lines that meet the earliest stays;
 each of the others is verified on the words. No pair of lines but (line, earliest) is formed.
 
 Only lines that share their first or second half with another line can be near to any, so the
-others emit nothing; equal lines are one line. Lines of fewer than `near_words` words are only
-compared for equality. Earliest is by document id, then by line number.
+others emit nothing; equal lines are one line. Lines of fewer than `near_words` words are near
+only where each word that differs has at most `short_share` percent of its line's letters; they
+emit just the variants without such a word, so all lines that meet are still near. Earliest is by
+document id, then by line number.
 
 Defined results: null texts and lines without words are left alone; rows that share an id count
 as one document; rows with a null id are told apart by text and come last; an empty table gives
@@ -45,19 +47,33 @@ from haulmetric.llm.ngram_join import bloom, in_bloom
 
 @dataclass(frozen=True)
 class Lines:
+    """near_words: words of a line of which any one may differ; short_share: the letters that may
+    differ in shorter lines, in percent of the line's (0: these are compared for equality only).
+    """
+
     near_words: int = 8
+    short_share: int = 0
     bloom_bits: int = 26
 
+    def compared(self, sizes: np.ndarray) -> np.ndarray:
+        """Which lines of so many words can be near to another."""
+        return (sizes >= self.near_words) | (self.short_share > 0)
+
+
+#: Lines of every length: of one to four words by letters, of five and more by words.
+EVERY_LENGTH = Lines(near_words=5, short_share=25)
+
 
 def halves(codes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Keys (four per line) of which near lines share one; a line is a range of codes.
 
     With m words in the shorter of two near lines, their first m // 2 words or the last
-    m - m // 2 are equal; a line can be the shorter one or the longer.
+    m - m // 2 are equal; a line can be the shorter one or the longer. One word is its own first
+    and last half.
     """
     keys = []
-    for m in (last - first, last - first - 1):
-        for side, start, stop in ((0, first, first + m // 2), (1, last - (m - m // 2), last)):
+    for m in (last - first, np.maximum(last - first - 1, 1)):
+        for side, start, stop in ((0, first, first + np.maximum(m // 2, 1)), (1, last - (m - m // 2), last)):
             salt = (2 * m + side).astype(np.uint64)
             keys.append(mixed(range_hashes(codes, start, stop) + salt))
     return np.stack(keys, axis=1).view(np.int64)
@@ -79,15 +95,19 @@ def one_edit(a: list[int], b: list[int]) -> bool:
     return a[k + (len(a) == len(b)) :] == b[k + 1 :]
 
 
-def lines_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word codes of a text, and of each line with a word: its number, first and last word."""
+def lines_of(
+    text: str | None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word codes of a text, and of each line with a word: its number, first and last word; and
+    the bytes of each word.
+    """
     raw = np.frombuffer((text or "").encode(), np.uint8)
-    starts, _ = word_spans(raw)
+    starts, ends = word_spans(raw)
     codes = word_codes(text, fold=False)
     feeds = np.concatenate(([0], np.cumsum(raw == 10)))
     of_word = feeds[starts]
     first = np.flatnonzero(np.diff(of_word, prepend=-1))
-    return codes, of_word[first], first, np.append(first[1:], len(codes)).astype(np.int64)
+    return codes, of_word[first], first, np.append(first[1:], len(codes)).astype(np.int64), ends - starts
 
 
 def _spot(nameless: Column | str, ident: Column | str, line: Column | str) -> Column:
@@ -110,12 +130,12 @@ def line_duplicates(docs: DataFrame, lines: Lines = Lines(), id_: str = "doc_id"
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[tuple]:
             for nameless, ident, body in rows_of(batches, ("nameless", "ident", "text")):
-                codes, numbers, first, last = lines_of(body)
+                codes, numbers, first, last, _ = lines_of(body)
                 if not len(numbers):
                     continue
                 whole = range_hashes(codes, first, last).view(np.int64).tolist()
                 keys: list[list[int] | None] = [None] * len(numbers)
-                long = np.flatnonzero(last - first >= lines.near_words)
+                long = np.flatnonzero(lines.compared(last - first))
                 if len(long):
                     for k, own in zip(long, halves(codes, first[long], last[long]).tolist(), strict=True):
                         keys[k] = own
@@ -154,7 +174,7 @@ def _near(source: DataFrame, distinct: DataFrame, lines: Lines) -> DataFrame:
     shared_bits = source.sparkSession.sparkContext.broadcast(bloom(suspects, lines.bloom_bits))
     schema = pa.schema(
         [("nameless", pa.int32()), ("ident", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()),
-         ("codes", pa.list_(pa.int64()))]
+         ("codes", pa.list_(pa.int64())), ("small", pa.list_(pa.int32()))]
     )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,41 +185,52 @@ def _near(source: DataFrame, distinct: DataFrame, lines: Lines) -> DataFrame:
                 likely = in_bloom(np.array(spots or [], np.int64), bits, lines.bloom_bits)
                 if not likely.any():
                     continue
-                codes, numbers, first, last = lines_of(body)
-                chosen = likely[numbers] & (last - first >= lines.near_words)
+                codes, numbers, first, last, sizes = lines_of(body)
+                chosen = likely[numbers] & lines.compared(last - first)
                 whole = range_hashes(codes, first, last).view(np.int64)
                 for k in np.flatnonzero(chosen):
                     own = codes[first[k] : last[k]].view(np.int64)
-                    yield nameless, ident, int(numbers[k]), int(whole[k]), own
+                    small = None
+                    if last[k] - first[k] < lines.near_words:
+                        letters = sizes[first[k] : last[k]]
+                        small = np.flatnonzero(100 * letters <= lines.short_share * letters.sum())
+                    yield nameless, ident, int(numbers[k]), int(whole[k]), own, small
 
         yield from batched(made(), schema)
 
     numbers = F.sequence(F.lit(0), F.size(F.split("text", "\n", -1)) - 1)
     spots = F.transform(numbers, lambda k: _spot(F.col("nameless"), F.col("ident"), k))
     likely = source.filter("text IS NOT NULL").withColumn("spots", spots).mapInArrow(
-        emit, "nameless int, ident long, line int, hash long, codes array<long>"
+        emit, "nameless int, ident long, line int, hash long, codes array<long>, small array<int>"
     )
     # The filter lets some other lines through; the join leaves the first place of each suspect.
     first = saved(
         likely.join(suspects.select("hash", "at"), "hash")
         .filter(F.struct("nameless", "ident", "line") == F.col("at"))
-        .select("hash", "at", "codes"),
+        .select("hash", "at", "codes", "small"),
         "first",
     )
-    pair = pa.schema([("hash", pa.int64()), ("variants", pa.list_(pa.int64()))])
+    # `small`: which words of a short line may differ; null where any may.
+    pair = pa.schema(
+        [("hash", pa.int64()), ("small", pa.list_(pa.int32())), ("variants", pa.list_(pa.int64()))]
+    )
 
     def vary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[tuple]:
-            for hash_, codes in rows_of(batches, ("hash", "codes")):
-                yield hash_, variants(np.array(codes, np.int64).view(np.uint64)).view(np.int64)
+            for hash_, codes, small in rows_of(batches, ("hash", "codes", "small")):
+                found = variants(np.array(codes, np.int64).view(np.uint64)).view(np.int64)
+                yield hash_, small, found if small is None else found[[*small, -1]]
 
         yield from batched(made(), pair)
 
     emitted = (
-        first.select("hash", "codes")
-        .mapInArrow(vary, "hash long, variants array<long>")
-        .select("hash", F.posexplode("variants").alias("slot", "variant"), F.size("variants").alias("size"))
-        .select("hash", "variant", F.when(F.col("slot") < F.col("size") - 1, F.col("slot")).otherwise(-1).alias("slot"))
+        first.select("hash", "codes", "small")
+        .mapInArrow(vary, "hash long, small array<int>, variants array<long>")
+        .select("hash", "small", F.posexplode("variants").alias("at", "variant"), F.size("variants").alias("size"))
+        .select(
+            "hash", "variant",
+            F.when(F.col("at") < F.col("size") - 1, F.coalesce(F.get("small", "at"), "at")).otherwise(-1).alias("slot"),
+        )
     )
     # The place goes along: (nameless, ident, line, hash) orders lines and names them.
     emitted = emitted.join(first.select("hash", "at"), "hash").select(
@@ -266,7 +297,7 @@ def without_lines(docs: DataFrame, lines: Lines = Lines(), id_: str = "doc_id",
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_duplicates(read(spark, sf_dir, "documents"))
+    found = line_duplicates(read(spark, sf_dir, "documents"), EVERY_LENGTH)
     return found.select(
         F.when(F.col("nameless") == 0, F.col("ident")).alias("doc_id"), "line",
         named("of").alias("of_doc_id"), F.col("of")["line"].alias("of_line"), "edits",

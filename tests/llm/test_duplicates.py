@@ -135,3 +135,39 @@ def test_text_without_a_range_keeps_the_rest():
     assert sentence_spans.cut_text(text, [(1, 1)]) == "One two. Five six! Seven."
     assert sentence_spans.cut_text(text, [(0, 3)]) == ""
     assert sentence_spans.cut_text(None, [(0, 0)]) is None
+
+
+def brute_short_lines(rows, lines):
+    def near(a, b):
+        if not line_dedup.one_edit(a, b):
+            return False
+        if max(len(a), len(b)) >= lines.near_words:
+            return True
+        k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        odd = [(x, x[k]) for x in (a, b) if len(a) == len(b) or len(x) == max(len(a), len(b))]
+        return all(100 * len(word) <= lines.short_share * sum(map(len, x)) for x, word in odd)
+
+    places, gone = [], set()
+    for doc, text, *_ in rows:
+        for number, line in enumerate(text.split("\n")):
+            tokens = line.encode().split()
+            if any(other == tokens for other in places):
+                gone.add((doc, number, 0))
+            elif any(near(other, tokens) for other in places):
+                gone.add((doc, number, 1))
+            places.append(tokens)
+    return gone
+
+
+def test_short_lines_have_near_copies_too(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(0, "Anat with by of nteres atre are.\nabout our Company\nto\nno", "en", "a"),
+            (1, "Tolyoued with by of nteres atre are.\nabout my Company\nelsewhere Company\nabout us", "en", "a")]
+    pool = ["a", "of", "to", "page", "contact", "international", "documentation"]
+    for k in range(2, 60):
+        rows.append((k, "\n".join(" ".join(rng.choices(pool, k=rng.randint(1, 7))) for _ in range(4)), "en", "a"))
+    sf = corpus.stored(corpus.frame(spark, rows).repartition(4), tmp_path)
+    found = line_dedup.op3_line_dedup(spark, sf).collect()
+    got = {(r.doc_id, r.line, r.edits) for r in found}
+    assert got == brute_short_lines(rows, line_dedup.EVERY_LENGTH)
+    assert (1, 0, 1) in got and (1, 1, 1) in got and not {(0, 3), (1, 2), (1, 3)} & {g[:2] for g in got}
