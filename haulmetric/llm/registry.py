@@ -17,6 +17,7 @@ from haulmetric.llm import (
     quality,
     sentence_spans,
     token_files,
+    vector_codes,
     warc,
 )
 
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         "op8_quality_classifier": importance.op8_quality_classifier,
         "op9_token_files": token_files.op9_token_files,
         "op10_ngram_join": ngram_join.op10_ngram_join,
+        "op11_vector_codes": vector_codes.op11_vector_codes,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -45,6 +47,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_rules": quality.oracle_sql(),
         "op4_warc": warc.oracle_sql(),
         "op10_ngram_join": ngram_join.oracle_sql(),
+        "op11_vector_codes": vector_codes.oracle_sql(),
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
