@@ -17,6 +17,7 @@ from haulmetric.llm import (
     quality,
     sentence_spans,
     token_files,
+    url_filter,
     vector_codes,
     warc,
 )
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         "op9_token_files": token_files.op9_token_files,
         "op10_ngram_join": ngram_join.op10_ngram_join,
         "op11_vector_codes": vector_codes.op11_vector_codes,
+        "op12_url_filter": url_filter.op12_url_filter,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -48,6 +50,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": warc.oracle_sql(),
         "op10_ngram_join": ngram_join.oracle_sql(),
         "op11_vector_codes": vector_codes.oracle_sql(),
+        "op12_url_filter": url_filter.oracle_sql(),
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
