@@ -13,6 +13,7 @@ from haulmetric.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    prefix_trie,
     privacy,
     quality,
     sentence_spans,
@@ -39,6 +40,7 @@ def queries() -> dict[str, Query]:
         "op10_ngram_join": ngram_join.op10_ngram_join,
         "op11_vector_codes": vector_codes.op11_vector_codes,
         "op12_url_filter": url_filter.op12_url_filter,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -51,6 +53,7 @@ def oracle_sql() -> dict[str, str]:
         "op10_ngram_join": ngram_join.oracle_sql(),
         "op11_vector_codes": vector_codes.oracle_sql(),
         "op12_url_filter": url_filter.oracle_sql(),
+        "op13_prefix_trie": prefix_trie.oracle_sql(),
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
