@@ -63,7 +63,7 @@ def whole(vectors: Column, codes: Codes) -> Column:
     def finite(x: Column) -> Column:
         return F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False))
 
-    return F.when((count > 0) & F.forall(vectors, finite), F.transform(vectors, one))
+    return F.when((count > 0) & F.forall(vectors, finite), F.transform(vectors, one).cast("array<int>"))
 
 
 class Book:
@@ -113,8 +113,10 @@ def matrices(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
 
 def kept_vectors(table: DataFrame, codes: Codes, id_: str, vector: str, label: str) -> DataFrame:
     """Rows (id, label, vector) of the vectors to be coded, in whole numbers."""
-    rows = table.select(
-        quoted(id_).alias("id"), quoted(label).alias("label"), whole(quoted(vector), codes).alias("vector")
+    # Written once: every round reads these, and a filter on the spot would compute them twice.
+    rows = saved(
+        table.select(quoted(id_).alias("id"), quoted(label).alias("label"), whole(quoted(vector), codes).alias("vector")),
+        "vectors",
     ).filter("vector IS NOT NULL")
     first = rows.orderBy(F.col("id").asc_nulls_last(), "vector").select(F.size("vector")).first()
     return rows.filter(F.size("vector") == (first[0] if first else 0))
