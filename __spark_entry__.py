@@ -11,13 +11,15 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
 from haulmetric.operators import fleet, newest
 from haulmetric.operators.decode import decode_flat, decode_nested
+from haulmetric.operators.drift import payload_drift
 from haulmetric.operators.enrich import add_dew_point, add_temp_delta, enrich
+from haulmetric.operators.joins import alert_positions, window_causes
 from haulmetric.operators.quality import (
     ARRIVAL,
     dedup_stream,
@@ -25,8 +27,17 @@ from haulmetric.operators.quality import (
     rejected_events,
     valid_events,
 )
+from haulmetric.operators.rollup import (
+    RANKS,
+    daily_estimates,
+    daily_exact,
+    fleet_rollup,
+    hourly_sketches,
+    hourly_sums,
+)
+from haulmetric.operators.trips import door_episodes, trip_sessions
 from haulmetric.operators.windows import anomaly_windows, window_metrics
-from haulmetric.plans import reports, upkeep
+from haulmetric.plans import compaction, reports, retention, upkeep
 from haulmetric.plans.catalog import bootstrap_tables, schema_explorer
 from haulmetric.plans.layers import (
     build_flat_silver,
@@ -35,6 +46,7 @@ from haulmetric.plans.layers import (
     clean_events,
     write_layers,
 )
+from haulmetric.plans.reconcile import layer_reconcile
 from haulmetric.schemas import (
     ENVELOPE,
     FLAT_SILVER,
@@ -50,10 +62,12 @@ from haulmetric.sources import fixtures
 from haulmetric.sources.bus import encode_nested, open_bus_files
 from haulmetric.sources.tables import read_table, register_layers, stream_table, write_table
 from haulmetric.streaming.chain import (
+    flagged_events_stream,
     flat_silver_stream,
     gold_stream,
     run_once,
     silver_stream,
+    trips_stream,
 )
 from haulmetric.streaming.sinks import append_to_path, append_to_table, drain
 
@@ -320,6 +334,95 @@ def retention_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _of_layers(report)(spark, sf_dir)
 
 
+def retention_move(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the windows lie after two moves of what is older than an hour."""
+    root = scratch_dir(spark, "tiers")
+    tier = retention.Tier(
+        f"{root}/hot", f"{root}/archive", GOLD, "window_end", ("vehicle_id", "window_start"), unit="hour"
+    )
+    retention.write_tier(_gold(spark, sf_dir), tier.hot, tier)
+    for _ in range(2):
+        retention.move_expired(spark, tier, "1 HOUR")
+    hot, archive = (
+        retention.read_tier(spark, path, tier).withColumn("tier", F.lit(name))
+        for name, path in (("hot", tier.hot), ("archive", tier.archive))
+    )
+    return hot.unionByName(archive)
+
+
+def compact_small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold layer after its small files were merged; the file of target size was left alone."""
+    path = scratch_dir(spark, "gold")
+    gold = read_table(spark, _stored(spark, sf_dir).gold_path, GOLD)
+    odd = F.xxhash64("vehicle_id", "window_start") % 4 == 0
+    write_table(gold.filter(~odd).coalesce(1), path)
+    largest = read_table(spark, path, GOLD).agg(F.max("_metadata.file_size")).first()[0]
+    write_table(gold.filter(odd).repartition(16), path)
+    settings = replace(DEFAULTS, target_file_bytes=2 * largest)
+    compaction.compact_small_files(spark, path, GOLD, settings=settings)
+    return read_table(spark, path, GOLD)
+
+
+# --- roll-ups and differences ---------------------------------------------------------------
+
+
+def fleet_rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All levels from stored hourly sums."""
+    path = scratch_dir(spark, "hourly")
+    write_table(hourly_sums(_silver(spark, sf_dir)), path)
+    return fleet_rollup(spark.read.parquet(path))
+
+
+def vehicle_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates from stored hourly sketches, as whether they lie within the stated errors."""
+    path = scratch_dir(spark, "sketches")
+    silver = _silver(spark, sf_dir)
+    write_table(hourly_sketches(silver), path)
+    estimates, exact = daily_estimates(spark.read.parquet(path)), daily_exact(silver)
+    # A quantile is judged by its rank among the readings.
+    day = F.date_trunc("day", "timestamp")
+    ranked = silver.select("vehicle_id", day.alias("day"), "cargo_temp").join(
+        estimates.select("vehicle_id", "day", *RANKS), ["vehicle_id", "day"]
+    )
+    ranks = ranked.groupBy("vehicle_id", "day").agg(
+        *(F.count_if(F.col("cargo_temp") < F.col(n)).alias(f"{n}_below") for n in RANKS),
+        *(F.count_if(F.col("cargo_temp") <= F.col(n)).alias(f"{n}_upto") for n in RANKS),
+    )
+    n = F.col("cargo_readings")
+
+    def close(name: str, rank: float) -> Column:
+        return (F.col(f"{name}_below") <= (rank + 0.0166) * n) & (F.col(f"{name}_upto") >= (rank - 0.0166) * n)
+
+    return (
+        estimates.withColumnRenamed("positions", "estimate")
+        .join(exact.select("vehicle_id", "day", "positions"), ["vehicle_id", "day"])
+        .join(ranks, ["vehicle_id", "day"])
+        .select(
+            "vehicle_id", "day", "cargo_readings",
+            (F.abs(F.col("estimate") - F.col("positions")) <= 0.08 * F.col("positions")).alias("positions_close"),
+            *(close(name, rank).alias(f"{name}_close") for name, rank in RANKS.items()),
+        )
+    )
+
+
+def payload_drift_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic that carries both payload shapes."""
+    return payload_drift(_bronze(spark, sf_dir).unionByName(_flat_bronze(spark, sf_dir)))
+
+
+def layer_reconcile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored layers, with some events lost from silver and others doubled."""
+    settings = _stored(spark, sf_dir)
+    bronze = read_table(spark, settings.bronze_path, ENVELOPE)
+    silver = read_table(spark, settings.silver_path, SILVER)
+    second = F.unix_seconds("timestamp")
+    copies = F.when(second % 50 == 0, 0).when(second % 70 == 0, 3).otherwise(1)
+    path = scratch_dir(spark, "damaged")
+    write_table(silver.withColumn("n", F.explode(F.array_repeat(F.lit(1), copies))).drop("n"), path)
+    found = layer_reconcile(bronze, read_table(spark, path, SILVER))
+    return found.select("side", F.col("copies").cast("long").alias("copies"), *SILVER.names)
+
+
 # --- streams ----------------------------------------------------------------------------
 
 
@@ -402,6 +505,34 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/out", GOLD)
 
 
+#: Short enough for several trips of each vehicle in compressed time.
+SHORT_GAP = replace(DEFAULTS, trip_gap="1 minute")
+
+
+def trip_sessions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = _silver(spark, sf_dir)
+    return (
+        trip_sessions(silver).withColumn("gap", F.lit(DEFAULTS.trip_gap))
+        .unionByName(trip_sessions(silver, SHORT_GAP).withColumn("gap", F.lit(SHORT_GAP.trip_gap)))
+    )
+
+
+def stream_trip_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = _land(spark, _silver(spark, sf_dir))
+    trips = trips_stream(stream_table(spark, landing, SILVER), SHORT_GAP)
+    return spark.read.schema(trips.schema).parquet(_stream_out(trips))
+
+
+def stream_flagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver stream joined with the gold stream."""
+    silver = _silver(spark, sf_dir)
+    sides = {"silver": _land(spark, silver), "gold": _land(spark, build_gold(silver))}
+    joined = flagged_events_stream(
+        stream_table(spark, sides["silver"], SILVER), stream_table(spark, sides["gold"], GOLD)
+    )
+    return spark.read.schema(joined.schema).parquet(_stream_out(joined))
+
+
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bus -> bronze -> silver -> gold as three chained streams."""
     landing = _land(spark, _bronze(spark, sf_dir))
@@ -488,7 +619,22 @@ def telemetry_queries() -> dict[str, Query]:
         "cluster_by_time": cluster_by_time,
         "maintain_layers": maintain_layers,
         "retention_split": retention_split,
+        "retention_move": retention_move,
+        "compact_small_files": compact_small_files,
+        # joins along time, trips and episodes
+        "window_causes": _of_layers(lambda bronze, silver, gold: window_causes(gold, silver)),
+        "alert_positions": on(_silver, alert_positions),
+        "trip_sessions": trip_sessions_query,
+        "door_episodes": on(_silver, door_episodes),
+        # roll-ups and differences
+        "fleet_rollup": fleet_rollup_query,
+        "vehicle_sketches": vehicle_sketches,
+        "vehicle_days": on(_silver, daily_exact),
+        "payload_drift": payload_drift_query,
+        "layer_reconcile": layer_reconcile_query,
         # streams
+        "stream_trip_sessions": stream_trip_sessions,
+        "stream_flagged_events": stream_flagged_events,
         "ingest_envelope": ingest_envelope,
         "bronze_stream_append": bronze_stream_append,
         "stream_to_table": stream_to_table,

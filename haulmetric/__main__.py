@@ -10,11 +10,18 @@ import time
 from pyspark.sql import DataFrame
 
 from haulmetric.operators import fleet
+from haulmetric.operators.drift import payload_drift
+from haulmetric.operators.joins import alert_positions, window_causes
 from haulmetric.operators.newest import bronze_latest, gold_latest, silver_latest
+from haulmetric.operators.rollup import fleet_rollup, hourly_sums
+from haulmetric.operators.trips import door_episodes, trip_sessions
 from haulmetric.plans.catalog import bootstrap_tables
+from haulmetric.plans.compaction import compact_small_files
+from haulmetric.plans.reconcile import layer_reconcile
 from haulmetric.plans.reports import layer_feed, layer_heartbeat, run_sql, stored_layers
+from haulmetric.plans.retention import retain_gold
 from haulmetric.plans.upkeep import maintain_layers
-from haulmetric.schemas import LAYER_SCHEMAS
+from haulmetric.schemas import LAYER_PARTITIONS, LAYER_SCHEMAS
 from haulmetric.session import build_session
 from haulmetric.settings import Settings, load_settings
 from haulmetric.sources.bus import open_bus, open_bus_files
@@ -24,6 +31,18 @@ from haulmetric.streaming.chain import run_once, start_all
 log = logging.getLogger("haulmetric")
 
 
+#: Reports that are one operator over the stored layers.
+REPORTS = {
+    "causes": lambda layers, settings: window_causes(layers["gold"], layers["silver"], settings),
+    "positions": lambda layers, settings: alert_positions(layers["silver"], settings),
+    "trips": lambda layers, settings: trip_sessions(layers["silver"], settings),
+    "episodes": lambda layers, settings: door_episodes(layers["silver"]),
+    "rollup": lambda layers, settings: fleet_rollup(hourly_sums(layers["silver"])),
+    "drift": lambda layers, settings: payload_drift(layers["bronze"]),
+    "reconcile": lambda layers, settings: layer_reconcile(layers["bronze"], layers["silver"], settings),
+}
+
+
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="haulmetric")
     parser.add_argument(
@@ -36,12 +55,17 @@ def _arguments() -> argparse.Namespace:
     stream.add_argument("--files", help="folder of envelope files to read instead of the bus")
     maintain = commands.add_parser("maintain", help="write compacted and clustered snapshots")
     maintain.add_argument("target", help="folder for the snapshots")
+    compact = commands.add_parser("compact", help="merge small files of a table in place")
+    compact.add_argument("path")
+    compact.add_argument("layer", choices=sorted(LAYER_SCHEMAS))
+    retain = commands.add_parser("retain", help="publish gold by date, and archive what is past its horizon")
+    retain.add_argument("target", help="folder for the hot and archived dates")
     commands.add_parser("check", help="show the newest rows of each layer")
     sql = commands.add_parser("sql", help="run SQL over the views bronze, silver and gold")
     sql.add_argument("text")
     sql.add_argument("--out", help="folder for all rows as Parquet, instead of printing them")
     sql.add_argument("--rows", type=int, help="print at most so many rows, and say how many are left")
-    for name in ("heartbeat", "feed", "kpis", "alerts", "trail"):
+    for name in ("heartbeat", "feed", "kpis", "alerts", "trail", *REPORTS):
         commands.add_parser(name, help=f"show the {name} of the stored layers")
     return parser.parse_args()
 
@@ -74,6 +98,15 @@ def main() -> None:
         if any(status not in ("done", "missing") for _, _, status in outcome):
             spark.stop()
             sys.exit(1)
+    elif arguments.command == "compact":
+        done = compact_small_files(
+            spark, arguments.path, LAYER_SCHEMAS[arguments.layer],
+            partition_by=LAYER_PARTITIONS[arguments.layer], settings=settings,
+        )
+        log.info("%s small files became %s", done.files_merged, done.files_written)
+    elif arguments.command == "retain":
+        for piece, rows in retain_gold(spark, arguments.target, settings):
+            log.info("%s: %s rows archived", piece, rows)
     elif arguments.command == "check":
         reports = {"bronze": bronze_latest, "silver": silver_latest, "gold": gold_latest}
         for layer, path in settings.layer_paths().items():
@@ -110,6 +143,8 @@ def _report(name: str, layers: dict[str, DataFrame | None], settings: Settings)
         raise SystemExit(f"not there yet: {', '.join(missing)}")
     if name == "feed":
         return layer_feed(**layers)
+    if name in REPORTS:
+        return REPORTS[name](layers, settings)
     silver = layers["silver"]
     if name == "kpis":
         return fleet.fleet_kpis(silver, settings)

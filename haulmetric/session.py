@@ -68,7 +68,8 @@ def state_conf(spark: SparkSession, settings: Settings = DEFAULTS) -> dict[str,
     200 are too few for a large cluster and slow on a small one.
     """
     key = "spark.sql.shuffle.partitions"
-    values = {}
+    # Sessions of a busy vehicle are merged within each task before the shuffle.
+    values = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
     if settings.state_partitions is not None:
         values[key] = str(settings.state_partitions)
     elif spark.conf.get(key, None) is None:

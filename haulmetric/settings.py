@@ -38,6 +38,7 @@ class Settings:
     watermark_delay: str = "10 seconds"
     window_length: str = "1 minute"
     window_slide: str = "10 seconds"
+    trip_gap: str = "5 minutes"
 
     # streaming execution
     trigger_interval: str = "5 seconds"
@@ -64,6 +65,7 @@ class Settings:
 
     # upkeep
     target_file_bytes: int = 256 * 1024 * 1024
+    gold_horizon: str = "90 days"
 
     def place(self, field: str) -> str:
         """A layer path or checkpoint; it must be a URI or an absolute path.

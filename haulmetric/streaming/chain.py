@@ -7,7 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from haulmetric.operators.decode import decode_flat, decode_nested
 from haulmetric.operators.enrich import add_temp_delta, enrich
+from haulmetric.operators.joins import flagged_events
 from haulmetric.operators.quality import ARRIVAL, dedup_stream, valid_events
+from haulmetric.operators.trips import trip_sessions
 from haulmetric.operators.windows import window_metrics
 from haulmetric.schemas import ENVELOPE, FLAT_SILVER, LAYER_PARTITIONS, SILVER
 from haulmetric.settings import DEFAULTS, Settings
@@ -32,6 +34,24 @@ def gold_stream(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     return window_metrics(silver.withWatermark("timestamp", settings.watermark_delay), settings)
 
 
+def flagged_events_stream(silver: DataFrame, gold: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Flagged windows joined with the events that raised the flag, both as streams.
+
+    Either side waits in state for the other. A window bounds the times of its events and an event
+    those of its windows, so each side's watermark drops what can find no partner any more.
+    """
+    return flagged_events(
+        gold.withWatermark("window_end", settings.watermark_delay),
+        silver.withWatermark("timestamp", settings.watermark_delay),
+        settings,
+    )
+
+
+def trips_stream(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """A trip is emitted once, when the watermark has passed its last event by the gap."""
+    return trip_sessions(silver.withWatermark("timestamp", settings.watermark_delay), settings)
+
+
 def start_bronze(
     bus: DataFrame, settings: Settings = DEFAULTS, *, continuous: bool = False
 ) -> StreamingQuery:

@@ -313,6 +313,110 @@ SELECT '{layer}' AS layer,
 FROM {source} GROUP BY ALL"""
 
 
+# Flagged windows with each event that raised the flag.
+RAISED = f"""{GOLD},
+raised AS (
+  SELECT * FROM (
+    SELECT g.vehicle_id, g.window_start, g.window_end, g.avg_cargo_temp, e."timestamp", e.cargo_temp, e.vibration,
+           e.door_status,
+           concat_ws('+', CASE WHEN e.cargo_temp > 8.0 AND g.avg_cargo_temp > 8.0 THEN 'cargo' END,
+                          CASE WHEN e.door_status = 'OPEN' THEN 'door' END,
+                          CASE WHEN round(e.vibration::DECIMAL(18,8), 2)::DOUBLE > 3.0 THEN 'vibration' END) AS cause
+    FROM gold g JOIN silver e ON e.vehicle_id = g.vehicle_id
+      AND e."timestamp" >= g.window_start AND e."timestamp" < g.window_end
+    WHERE g.anomaly_flag)
+  WHERE cause <> ''
+)"""
+
+
+def _trips(seconds: int, more: str = "") -> str:
+    """Events less than a gap apart, by running sums over the gaps between them."""
+    return f"""
+SELECT vehicle_id, min("timestamp") AS trip_start, max("timestamp") AS trip_end, count(*) AS events,
+  min(cargo_temp) AS min_cargo_temp, max(cargo_temp) AS max_cargo_temp,
+  round(max(vibration)::DECIMAL(18,8), 2)::DOUBLE AS max_vibration,
+  count(*) FILTER (WHERE door_status = 'OPEN') AS door_open_count{more}
+FROM (SELECT *, sum(starts) OVER (PARTITION BY vehicle_id ORDER BY "timestamp") AS trip
+      FROM (SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY vehicle_id ORDER BY "timestamp")
+                                <= INTERVAL {seconds} SECOND THEN 0 ELSE 1 END AS starts FROM silver))
+GROUP BY vehicle_id, trip"""
+
+
+def _differences() -> dict[str, str]:
+    """Joins along time, stretches of events, roll-ups, shapes and differences of layers."""
+    copies = "CASE WHEN epoch(\"timestamp\")::BIGINT % 50 = 0 THEN 0 WHEN epoch(\"timestamp\")::BIGINT % 70 = 0 THEN 3 ELSE 1 END"
+    return {
+        "window_causes": f"""WITH {RAISED}
+SELECT vehicle_id, window_start, window_end, "timestamp" AS event_time, cause, cargo_temp, vibration, door_status,
+       count(*) OVER (PARTITION BY vehicle_id, window_start) AS raising_events
+FROM raised QUALIFY row_number() OVER (PARTITION BY vehicle_id, window_start ORDER BY "timestamp") = 1""",
+        "stream_flagged_events": f"WITH {RAISED} SELECT * FROM raised",
+        "alert_positions": f"""WITH {SILVER}
+SELECT a.vehicle_id, a."timestamp", a.cargo_temp, a.vibration, a.door_status, a.condensation_risk,
+       p."timestamp" AS position_time, p.latitude, p.longitude,
+       (epoch(a."timestamp") - epoch(p."timestamp"))::BIGINT AS position_age
+FROM (SELECT * FROM silver WHERE {_EVENT_ANOMALY} OR condensation_risk) a
+ASOF LEFT JOIN (SELECT * FROM silver WHERE latitude IS NOT NULL AND longitude IS NOT NULL) p
+  ON a.vehicle_id = p.vehicle_id AND a."timestamp" >= p."timestamp\"""",
+        "trip_sessions": f"""WITH {SILVER} {_trips(300, ", '5 minutes' AS gap")}
+UNION ALL {_trips(60, ", '1 minute' AS gap")}""",
+        "stream_trip_sessions": f"""WITH {SILVER}
+SELECT * FROM ({_trips(60)})
+WHERE trip_end + INTERVAL 60 SECOND <= (SELECT max("timestamp") FROM silver) - INTERVAL 10 SECOND""",
+        "door_episodes": f"""WITH {SILVER},
+marked AS (SELECT *, door_status = 'OPEN' AS is_open,
+                  sum(changed) OVER (PARTITION BY vehicle_id ORDER BY "timestamp") AS run
+           FROM (SELECT *, CASE WHEN (door_status = 'OPEN') = lag(door_status = 'OPEN') OVER (PARTITION BY vehicle_id ORDER BY "timestamp")
+                                THEN 0 ELSE 1 END AS changed FROM silver WHERE door_status IS NOT NULL)),
+runs AS (SELECT vehicle_id, run, is_open, min("timestamp") AS opened_at, max("timestamp") AS last_open, count(*) AS events,
+                max(cargo_temp) AS max_cargo_temp FROM marked GROUP BY ALL),
+followed AS (SELECT *, lead(opened_at) OVER (PARTITION BY vehicle_id ORDER BY run) AS closed_at FROM runs)
+SELECT vehicle_id, opened_at, last_open, closed_at, events, max_cargo_temp,
+       (epoch(coalesce(closed_at, last_open)) - epoch(opened_at))::BIGINT AS seconds
+FROM followed WHERE is_open""",
+        "fleet_rollup": f"""WITH {SILVER}
+SELECT vehicle_id, day, hour,
+  CASE GROUPING(vehicle_id, day, hour) WHEN 0 THEN 'hour' WHEN 1 THEN 'day' WHEN 3 THEN 'vehicle' ELSE 'fleet' END AS level,
+  count(*) AS events, count(cargo_temp) AS cargo_readings, {_mean("cargo_temp")} AS avg_cargo_temp,
+  round(max(vibration)::DECIMAL(18,8), 2)::DOUBLE AS max_vibration,
+  count(*) FILTER (WHERE door_status = 'OPEN') AS door_open_count
+FROM (SELECT *, date_trunc('day', "timestamp")::TIMESTAMP AS day, date_trunc('hour', "timestamp") AS hour FROM silver)
+GROUP BY ROLLUP (vehicle_id, day, hour)""",
+        "vehicle_days": f"""WITH {SILVER}
+SELECT vehicle_id, date_trunc('day', "timestamp")::TIMESTAMP AS day, count(DISTINCT (latitude, longitude)) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS positions,
+       count(cargo_temp) AS cargo_readings, quantile_disc(cargo_temp, 0.5) AS cargo_median, quantile_disc(cargo_temp, 0.95) AS cargo_p95
+FROM silver GROUP BY ALL""",
+        "vehicle_sketches": f"""WITH {SILVER}
+SELECT vehicle_id, date_trunc('day', "timestamp")::TIMESTAMP AS day, count(cargo_temp) AS cargo_readings,
+       true AS positions_close, true AS cargo_median_close, true AS cargo_p95_close
+FROM silver GROUP BY ALL""",
+        "payload_drift": f"""WITH {BRONZE},
+topic AS (SELECT txt FROM body UNION ALL SELECT flat_txt FROM body),
+shaped AS (
+  SELECT CASE WHEN json_valid(txt) THEN txt::JSON END AS j,
+    CASE WHEN NOT json_valid(txt) THEN 'broken' WHEN json_exists(txt, '$.telemetry') THEN 'nested'
+         WHEN json_exists(txt, '$.Vehicle_ID') OR json_exists(txt, '$.Timestamp') THEN 'flat' ELSE 'other' END AS shape
+  FROM topic),
+outer_ AS (SELECT shape, key, json_extract(j, '$."' || key || '"') AS v
+           FROM (SELECT shape, j, unnest(json_keys(j)) AS key FROM shaped WHERE j IS NOT NULL)),
+inner_ AS (SELECT shape, key || '.' || k AS key, json_extract(v, '$."' || k || '"') AS v
+           FROM (SELECT *, unnest(json_keys(v)) AS k FROM outer_ WHERE json_type(v) = 'OBJECT'))
+SELECT shape, '' AS field, '' AS "type", count(*) AS bodies FROM shaped GROUP BY ALL
+UNION ALL
+SELECT shape, key, CASE json_type(v) WHEN 'VARCHAR' THEN 'STRING' WHEN 'OBJECT' THEN 'OBJECT' ELSE 'NUMBER' END, count(*)
+FROM (SELECT * FROM outer_ UNION ALL SELECT * FROM inner_) GROUP BY ALL""",
+        "layer_reconcile": f"""WITH {SILVER}
+SELECT CASE WHEN n = 0 THEN 'missing' ELSE 'unexpected' END AS side, (CASE WHEN n = 0 THEN 1 ELSE n - 1 END)::BIGINT AS copies,
+       * EXCLUDE (n)
+FROM (SELECT *, {copies} AS n FROM silver) WHERE n <> 1""",
+        "retention_move": f"""WITH {GOLD}
+SELECT {_GOLD_LIST}, strftime(window_end, '%Y-%m-%d-%H') AS piece,
+       CASE WHEN window_end >= (SELECT max(window_end) FROM gold) - INTERVAL 1 HOUR THEN 'hot' ELSE 'archive' END AS tier
+FROM gold""",
+        "compact_small_files": f"WITH {GOLD} SELECT {_GOLD_LIST} FROM gold",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     silver_rows = f"WITH {SILVER} {_ALL_SILVER}"
     gold_rows = f"WITH {GOLD} SELECT {_GOLD_LIST} FROM gold"
@@ -458,4 +562,4 @@ SELECT DISTINCT v AS vehicle_id, t AS "timestamp" FROM valid""",
         "layers_end_to_end": f"WITH {CHAINED} SELECT {_GOLD_LIST} FROM closed",
     }
     texts["bronze_latest_stored"] = texts["bronze_latest"]
-    return texts | _status_queries()
+    return texts | _status_queries() | _differences()

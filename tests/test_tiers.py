@@ -1,0 +1,232 @@
+"""Retention by moving rows, and compaction of small files."""
+
+from dataclasses import replace
+
+import pytest
+from helpers import at, data_files
+from pyspark.sql import functions as F
+
+from haulmetric.plans import compaction, retention
+from haulmetric.schemas import GOLD, SILVER
+from haulmetric.settings import DEFAULTS
+from haulmetric.sources.files import Files
+from haulmetric.sources.tables import read_table, write_table
+
+HOUR = 3600
+
+
+def gold(spark, seconds, vehicle="TRK-CHI-0001", mean=4.0):
+    rows = [
+        (None if s is None else at(s - 60), None if s is None else at(s), vehicle, mean, 20.0, 0.1, k, False, 1.0, 0)
+        for k, s in enumerate(seconds)
+    ]
+    return spark.createDataFrame(rows, GOLD)
+
+
+@pytest.fixture
+def tier(tmp_path):
+    return retention.Tier(
+        f"{tmp_path}/hot", f"{tmp_path}/archive", GOLD, "window_end", ("vehicle_id", "window_start", "door_open_count"), "hour"
+    )
+
+
+def snapshot(path):
+    return {str(p): (p.stat().st_mtime_ns, p.stat().st_size) for p in data_files(path)}
+
+
+def ends(spark, path, tier):
+    return sorted(r.window_end for r in retention.read_tier(spark, path, tier).collect())
+
+
+def same(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_old_rows_lie_in_the_archive_by_date_and_no_longer_in_the_hot_folder(spark, tier, tmp_path):
+    rows = gold(spark, [0, 1800, HOUR, 2 * HOUR + 600, 2 * HOUR + 1800, 3 * HOUR, 4 * HOUR + 1200])
+    retention.write_tier(rows, tier.hot, tier)
+    before = snapshot(tier.hot)
+    moved = retention.move_expired(spark, tier, "2 HOURS")
+    assert moved == [("2024-05-01-12", 2), ("2024-05-01-13", 1), ("2024-05-01-14", 1)]
+    hot, archive = (retention.read_tier(spark, p, tier) for p in (tier.hot, tier.archive))
+    assert same(hot.unionByName(archive).drop("piece"), rows)
+    assert archive.agg(F.max("window_end")).first()[0] < hot.agg(F.min("window_end")).first()[0]
+    # Partitions that are old as a whole are gone; those without an old row were not touched.
+    left = snapshot(tier.hot)
+    assert not any(f"piece=2024-05-01-{h}" in p for p in left for h in (12, 13))
+    assert all(left[p] == before[p] for p in before if "-15/" in p or "-16/" in p)
+    assert all("piece=2024-05-01-1" in p for p in snapshot(tier.archive))
+
+
+def test_a_second_run_writes_nothing(spark, tier):
+    retention.write_tier(gold(spark, range(0, 5 * HOUR, 300)), tier.hot, tier)
+    assert retention.move_expired(spark, tier, "90 MINUTES")
+    before = snapshot(tier.hot), snapshot(tier.archive)
+    assert retention.move_expired(spark, tier, "90 MINUTES") == []
+    assert (snapshot(tier.hot), snapshot(tier.archive)) == before
+
+
+def test_later_moves_add_to_a_partition_of_the_archive(spark, tier):
+    rows = gold(spark, range(0, 3 * HOUR, 300))
+    retention.write_tier(rows, tier.hot, tier)
+    for minutes in (170, 160, 100, 30):
+        retention.move_expired(spark, tier, f"{minutes} MINUTES")
+    both = retention.read_tier(spark, tier.hot, tier).unionByName(retention.read_tier(spark, tier.archive, tier))
+    assert same(both.drop("piece"), rows)
+
+
+def test_a_run_cut_off_between_archive_and_hot_folder_doubles_nothing(spark, tier, monkeypatch):
+    rows = gold(spark, range(0, 4 * HOUR, 600))
+    retention.write_tier(rows, tier.hot, tier)
+    monkeypatch.setattr(Files, "delete_all", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        retention.move_expired(spark, tier, "100 MINUTES")
+    assert len(ends(spark, tier.hot, tier)) + len(ends(spark, tier.archive, tier)) > rows.count()
+    monkeypatch.undo()
+    retention.move_expired(spark, tier, "100 MINUTES")
+    both = retention.read_tier(spark, tier.hot, tier).unionByName(retention.read_tier(spark, tier.archive, tier))
+    assert same(both.drop("piece"), rows)
+
+
+def test_rows_without_a_time_stay_hot_and_all_rows_may_go(spark, tier):
+    retention.write_tier(gold(spark, [0, 60, None]), tier.hot, tier)
+    moved = retention.move_expired(spark, tier, "1 HOUR", as_of=at(10 * HOUR))
+    assert [n for _, n in moved] == [2]
+    assert ends(spark, tier.hot, tier) == [None] and len(ends(spark, tier.archive, tier)) == 2
+
+
+def test_an_empty_hot_folder_moves_nothing(spark, tier):
+    assert retention.move_expired(spark, tier, "1 HOUR") == []
+    retention.write_tier(gold(spark, [None]), tier.hot, tier)
+    assert retention.move_expired(spark, tier, "1 HOUR") == []
+
+
+def test_young_partitions_are_not_scanned(spark, tier):
+    retention.write_tier(gold(spark, range(0, 10 * HOUR, 600)), tier.hot, tier)
+    old = retention.read_tier(spark, tier.hot, tier).filter("piece <= '2024-05-01-13' AND window_end < '2024-05-01 13:30:00'")
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(piece" in plan and "PushedFilters: [IsNotNull(window_end), LessThan(window_end" in plan
+    assert len(old.inputFiles()) <= len(data_files(tier.hot)) and old.count() == 9
+
+
+def test_daily_partitions(spark, tmp_path):
+    days = retention.Tier(f"{tmp_path}/h", f"{tmp_path}/a", GOLD, "window_end", ("vehicle_id", "window_start"))
+    retention.write_tier(gold(spark, range(0, 100 * 24 * HOUR, 24 * HOUR)), days.hot, days)
+    assert len(retention.move_expired(spark, days, "90 DAYS")) == 9
+    assert len(ends(spark, days.hot, days)) == 91
+
+
+def test_a_growing_layer_is_published_by_its_newest_dates(spark, tmp_path):
+    settings = replace(DEFAULTS.at(f"{tmp_path}/lake"), gold_horizon="3 days")
+    day = 24 * HOUR
+    write_table(gold(spark, range(0, 5 * day, 6 * HOUR)), settings.gold_path)
+    root, days = f"{tmp_path}/tiers", retention.gold_tier(f"{tmp_path}/tiers")
+    assert [n for _, n in retention.retain_gold(spark, root, settings)] == [2, 4, 1]
+    before = snapshot(days.archive)
+    write_table(gold(spark, range(5 * day, 6 * day, 6 * HOUR)), settings.gold_path)
+    assert [n for _, n in retention.retain_gold(spark, root, settings)] == [3, 1]
+    after = snapshot(days.archive)
+    assert all(after[p] == before[p] for p in before if "05-03" not in p)
+    both = [retention.read_tier(spark, p, days) for p in (days.hot, days.archive)]
+    rows = read_table(spark, settings.gold_path, GOLD)
+    assert same(both[0].unionByName(both[1]).drop("piece"), rows)
+    assert retention.retain_gold(spark, root, settings) == []
+
+
+def test_folders_of_streams_are_refused(spark, tier):
+    files = Files(spark, tier.hot)
+    files.make(f"{tier.hot}/_spark_metadata")
+    with pytest.raises(ValueError, match="stream"):
+        retention.move_expired(spark, tier, "1 HOUR")
+    with pytest.raises(ValueError, match="stream"):
+        compaction.compact_small_files(spark, tier.hot, GOLD)
+
+
+# --- small files --------------------------------------------------------------------------
+
+
+def sized(path):
+    return max(p.stat().st_size for p in data_files(path))
+
+
+def test_small_files_are_merged_and_large_ones_left(spark, silver, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(silver.coalesce(1), path)
+    settings = replace(DEFAULTS, target_file_bytes=2 * sized(path))
+    large = snapshot(path)
+    write_table(silver.repartition(12), path)
+    done = compaction.compact_small_files(spark, path, SILVER, settings=settings)
+    assert done.files_merged == 12 and done.files_written < 4
+    after = snapshot(path)
+    assert large.items() <= after.items() and len(after) == 1 + done.files_written
+    assert same(read_table(spark, path, SILVER), silver.unionByName(silver))
+    # Merged files that are still small may be merged once more; then nothing is left to do.
+    while compaction.compact_small_files(spark, path, SILVER, settings=settings).files_merged:
+        assert len(snapshot(path)) < len(after)
+    before = snapshot(path)
+    assert compaction.compact_small_files(spark, path, SILVER, settings=settings) == compaction.Compaction(0, 0)
+    assert snapshot(path) == before
+
+
+def test_files_of_target_size_are_not_read(spark, silver, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(silver.coalesce(1), path)
+    limit = sized(path)
+    write_table(silver.limit(50).repartition(3), path)
+    # A file of target size that cannot be read: nothing looks into it.
+    large = max(data_files(path), key=lambda p: p.stat().st_size)
+    large.write_bytes(b"x" * large.stat().st_size)
+    (large.parent / f".{large.name}.crc").unlink(missing_ok=True)
+    settings = replace(DEFAULTS, target_file_bytes=2 * limit)
+    assert compaction.compact_small_files(spark, path, SILVER, settings=settings) == compaction.Compaction(3, 1)
+
+
+def test_partitioned_tables_are_merged_by_folder(spark, silver, tmp_path):
+    path = str(tmp_path / "table")
+    for part in silver.randomSplit([1.0, 1.0, 1.0], seed=4):
+        write_table(part, path, partition_by=("vehicle_id",))
+    lone = silver.limit(1).withColumn("vehicle_id", F.lit("a b/c=d%e"))
+    write_table(lone, path, partition_by=("vehicle_id",))
+    vehicles = silver.select("vehicle_id").distinct().count()
+    done = compaction.compact_small_files(spark, path, SILVER, partition_by=("vehicle_id",))
+    assert done.files_merged == 3 * vehicles and done.files_written == vehicles
+    assert same(read_table(spark, path, SILVER), silver.unionByName(lone.select(SILVER.names)))
+    write_table(lone, path, partition_by=("vehicle_id",))
+    done = compaction.compact_small_files(spark, path, SILVER, partition_by=("vehicle_id",))
+    assert done == compaction.Compaction(2, 1)
+    assert read_table(spark, path, SILVER).filter("vehicle_id = 'a b/c=d%e'").count() == 2
+
+
+@pytest.mark.parametrize("call", range(8))
+def test_a_run_cut_off_while_files_change_places_is_finished_by_the_next(spark, silver, tmp_path, monkeypatch, call):
+    path = str(tmp_path / "table")
+    write_table(silver.repartition(6), path)
+    calls = iter(range(100))
+
+    def failing(method):
+        def run(self, *given):
+            if next(calls) == call:
+                raise OSError("lost")
+            return method(self, *given)
+
+        return run
+
+    monkeypatch.setattr(Files, "delete", failing(Files.delete))
+    monkeypatch.setattr(Files, "move", failing(Files.move))
+    with pytest.raises(OSError, match="lost"):
+        compaction.compact_small_files(spark, path, SILVER)
+    monkeypatch.undo()
+    compaction.compact_small_files(spark, path, SILVER)
+    assert same(read_table(spark, path, SILVER), silver)
+    assert len(snapshot(path)) == 1 and not list((tmp_path / "table").glob("_merged-*"))
+
+
+def test_a_run_cut_off_while_writing_is_undone(spark, silver, tmp_path):
+    path = str(tmp_path / "table")
+    write_table(silver.repartition(3), path)
+    write_table(silver, f"{path}/_merged-x/new")
+    before = snapshot(path)
+    assert compaction.finish(spark, path) == 0
+    assert not (tmp_path / "table" / "_merged-x").exists()
+    assert {k: v for k, v in before.items() if "_merged" not in k} == snapshot(path)
+    assert same(read_table(spark, path, SILVER), silver)
