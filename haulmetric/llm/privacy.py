@@ -308,6 +308,13 @@ def personal_spans(docs: DataFrame, keep: list[str], text: str = "text") -> Data
     )
 
 
+def in_order(spans: Column) -> Column:
+    """Spans by kind as listed, then start."""
+    rank = lambda s: F.array_position(F.array(*map(F.lit, ORDER)), s["kind"])
+    keyed = F.transform(spans, lambda s: F.struct(rank(s).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))  # noqa: E501
+    return F.sort_array(keyed)
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -319,5 +326,5 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *(count(kind).alias(f"n_{kind}") for kind in BASE),
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
-        _joined(F.concat("base", "added")).alias("spans"),
+        _joined(in_order(F.concat("base", "added"))).alias("spans"),
     )

@@ -124,6 +124,24 @@ def test_further_kinds_are_added_where_context_speaks_for_them(spark):
     assert all(not found[1000 + k].added for k in range(400))
 
 
+def test_all_spans_stand_by_kind_then_start(spark):
+    """Exact text over a whole table, with further spans of the base kinds among them."""
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    spans = {r.doc_id: (r.base, r.added) for r in privacy.personal_spans(docs, ["doc_id"]).collect()}
+    assert sum(any(s.kind in privacy.BASE for s in added) for _, added in spans.values()) > 0
+    for r in privacy.op2_personal_data(spark, path).collect():
+        every = sorted((privacy.ORDER.index(s.kind), s.start, s.end, s.kind) for part in spans[r.doc_id] for s in part)
+        assert r.spans == ",".join(f"{kind}:{start}:{end}" for _, start, end, kind in every)
+
+
+def test_extra_columns_with_clashing_names(spark):
+    docs = corpus.odd(spark)
+    clashing = docs.select("*", *(F.lit("x").alias(n) for n in ("base", "added", "span", "score", "kind", "start")))
+    found = privacy.personal_spans(clashing, ["doc_id", "kind", "start", "row", "score"])
+    assert found.count() == docs.count() and found.columns[:5] == ["doc_id", "kind", "start", "row", "score"]
+
+
 def test_odd_rows_and_empty_tables(spark, tmp_path):
     docs = corpus.odd(spark)
     found = privacy.personal_spans(docs, docs.columns)
