@@ -18,21 +18,20 @@ are ordered by text; repeated rows are all written; an empty table writes no sha
 from __future__ import annotations
 
 import json
-import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
-from types import ModuleType
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from haulmetric.llm.common import batched, quoted, read, rows_of, saved
-from haulmetric.session import scratch_dir
+from haulmetric.session import scratch_dir, session_conf
 
 MAGIC = b"DACTOK1\n"
 #: Ids between two entries of a directory.
@@ -42,17 +41,12 @@ _BATCH = 1 << 20
 
 @dataclass(frozen=True)
 class Files:
-    """end: id after each document; shard_tokens: ids in a file; cached: pieces remembered.
-
-    kept: whether Python workers keep the pieces between tasks, which is faster and takes some
-    100 MB of each worker until it ends.
-    """
+    """end: id after each document; shard_tokens: ids in a file; cached: pieces remembered by a task."""
 
     tokenizer: str
     end: int = 2
     shard_tokens: int = 4_000_000
-    cached: int = 400_000
-    kept: bool = True
+    cached: int = 300_000
 
 
 def default_files() -> Files:
@@ -90,27 +84,42 @@ def bit_lengths(ids: np.ndarray) -> np.ndarray:
     return np.frexp(ids.astype(np.float64))[1].clip(1)
 
 
+def _eights(width: int) -> Iterator[tuple[int, int, int]]:
+    """Of eight values of `width` bits in `width` bytes: (value, byte, shift of the value there)."""
+    for k in range(8):
+        for byte in range(k * width // 8, ((k + 1) * width + 7) // 8):
+            yield k, byte, 8 * byte - k * width
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
     """Values of `width` bits, one after the other, low bits first."""
     found = []
-    kind = "<u2" if width <= 16 else "<u4"
     for start in range(0, len(values), _BATCH):  # a multiple of 8 values, so whole bytes
-        part = values[start : start + _BATCH].astype(kind)
-        bits = np.unpackbits(part.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little")
-        found.append(np.packbits(bits[:, :width], bitorder="little").tobytes())
+        part = values[start : start + _BATCH].astype(np.uint32)
+        rows = np.zeros((-(-len(part) // 8), 8), np.uint32)
+        rows.ravel()[: len(part)] = part
+        out = np.zeros((len(rows), width), np.uint8)
+        for k, byte, shift in _eights(width):
+            own = rows[:, k] >> np.uint32(shift) if shift > 0 else rows[:, k] << np.uint32(-shift)
+            out[:, byte] |= own.astype(np.uint8)
+        found.append(out.tobytes()[: -(-len(part) * width // 8)])
     return b"".join(found)
 
 
 def unpack(data: memoryview, width: int, count: int) -> np.ndarray:
     found = np.empty(count, np.uint32)
-    kind, full = ("<u2", 16) if width <= 16 else ("<u4", 32)
     raw = np.frombuffer(data, np.uint8)
     for start in range(0, count, _BATCH):
         size = min(_BATCH, count - start)
         part = raw[start * width // 8 : -(-(start + size) * width // 8)]
-        bits = np.zeros((size, full), np.uint8)
-        bits[:, :width] = np.unpackbits(part, bitorder="little", count=size * width).reshape(size, width)
-        found[start : start + size] = np.packbits(bits, axis=1, bitorder="little").view(kind).ravel()
+        rows = np.zeros((-(-size // 8), width), np.uint8)
+        rows.ravel()[: len(part)] = part
+        columns = np.ascontiguousarray(rows.T).astype(np.uint32)
+        out = np.zeros((len(rows), 8), np.uint32)
+        for k, byte, shift in _eights(width):
+            out[:, k] |= columns[byte] << np.uint32(shift) if shift > 0 else columns[byte] >> np.uint32(-shift)
+        found[start : start + size] = out.ravel()[:size]
+    found &= np.uint32((1 << width) - 1)
     return found
 
 
@@ -225,28 +234,32 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
 
 #: Pieces encoded in one call: the library's records of a call are many times its text.
 _LEARN = 8192
+#: Bytes of text and number of documents worked on at a time.
+_BLOCK_BYTES, _BLOCK_DOCS = 8 << 20, 8192
+#: Bytes of ASCII letters and digits, and of the marks that end a word.
+LETTERS, MARKS = np.zeros(256, bool), np.zeros(256, bool)
+LETTERS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")] = True
+MARKS[list(b".,")] = True
 
 
-class Numbers(dict):
-    """Numbers of pieces; a piece met for the first time gets the next one and is noted."""
-
-    def __init__(self, counter: Iterator[int]):
-        super().__init__()
-        self.counter, self.fresh = counter, []
-
-    def __missing__(self, piece: str) -> int:
-        number = self[piece] = next(self.counter)
-        self.fresh.append((number, piece))
-        return number
+#: Byte-level tokenizers write bytes as letters, those that are printable in Latin-1
+#: as themselves and the others, in order, as the letters from U+0100 on.
+_KEPT = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _KEPT]
+_LETTER = {b: chr(b) for b in _KEPT} | {b: chr(0x100 + k) for k, b in enumerate(_OTHERS)}
+#: Letters before this one are letters in every version of Unicode.
+LATIN_END = "\u0250"
+BYTE_LETTERS = {k: "".join(_LETTER[b] for b in chr(k).encode()) for k in range(ord(LATIN_END))}
 
 
 class Pieces:
     """Ids of texts by way of the ids of their pieces.
 
     Byte-level pre-tokens never reach over the border before a single space or around a single
-    line feed, so a text's ids are those of the pieces cut there, and a piece is encoded once
-    per worker. Texts with other blanks, runs of blanks or the text of an added token are encoded
-    whole.
+    line feed, so a text's ids are those of the pieces that start there. A block of texts is cut and
+    its distinct pieces are found by Arrow, without an object for each word; only pieces that are
+    not known yet are encoded. Of too many pieces, those unused for longest are forgotten. Texts
+    with other blanks, runs of blanks or the text of an added token are encoded whole.
     """
 
     def __init__(self, files: Files):
@@ -257,66 +270,106 @@ class Pieces:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         # A space before a word is the first letter of the word's first token.
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.feed = vocabulary["\u010a"]
-        self._clear()
-
-    def _clear(self) -> None:
-        self.counter = count(1)
-        # Pieces that follow a space, and those at the start of a text or line; 0 is the feed.
-        self.spaced, self.bare = Numbers(self.counter), Numbers(self.counter)
-        self.flat = np.full(1, self.feed, np.uint32)
-        self.used = 1
-        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.sizes[0] = 1
+        self.spaces = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaces[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.feeds = np.zeros(len(self.spaces), bool)
+        self.feeds[vocabulary["\u010a"]] = True
+        # Pieces by number, in the order in which they were learnt.
+        self.numbers: dict[str, int] = {}
+        self.weight = 0
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts, self.sizes, self.last_use = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.turn = 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.spaced) + len(self.bare) >= self.most:
-            self._clear()
         plain = [self._safe(t) for t in texts]
-        numbers = [self._numbers(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
-        self._learn(self.spaced, lambda pieces: "".join(f" {p}" for p in pieces), self.opens)
-        feeds = np.zeros(len(self.opens), bool)
-        feeds[self.feed] = True
-        self._learn(self.bare, lambda pieces: "".join(f"\n{p}" for p in pieces), feeds, skip=1)
-        found = [self._joined(np.array(own, np.int64)) for own in numbers]
-        whole = [k for k, ok in enumerate(plain) if not ok]
-        for k, coded in zip(whole, self._batch([texts[k] for k in whole]), strict=True):
-            found[k] = np.array(coded, np.uint32)
+        found: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
+        known = [k for k, ok in enumerate(plain) if ok]
+        if known:
+            for k, ids in zip(known, self._plain(pa.array([texts[k] for k in known], pa.large_string())), strict=True):
+                found[k] = ids
+        whole = [k for k, ok in enumerate(plain) if not ok and texts[k]]
+        for k, ids in zip(whole, self._batch([texts[k] for k in whole]), strict=True):
+            found[k] = np.array(ids, np.uint32)
         return found
 
-    def _numbers(self, text: str) -> list[int]:
-        out: list[int] = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(self.bare[first])
-            out.extend(map(self.spaced.__getitem__, rest))
-            out.append(0)
-        return out[:-1]
-
-    def _learn(self, numbers: Numbers, together, opens: np.ndarray, skip: int = 0) -> None:
-        """Encode the new pieces in one go; the token that opens each piece tells them apart."""
-        if not numbers.fresh:
-            return
-        fresh, numbers.fresh = numbers.fresh, []
-        for start in range(0, len(fresh), _LEARN):
-            self._learn_some(fresh[start : start + _LEARN], together, opens, skip)
-
-    def _learn_some(self, fresh: list[tuple[int, str]], together, opens: np.ndarray, skip: int) -> None:
-        at, pieces = zip(*fresh, strict=True)
-        ids = np.array(self._batch([together(pieces)])[0], np.uint32)
-        starts = np.flatnonzero(opens[ids])
-        if len(starts) != len(pieces):
-            raise AssertionError("pieces and ids do not line up")
-        top = max(at) + 1
-        self.starts, self.sizes = _grown(self.starts, top), _grown(self.sizes, top)
-        where = np.array(at)
-        self.starts[where] = self.used + starts + skip
-        self.sizes[where] = np.diff(starts, append=len(ids)) - skip
-        self.flat = _grown(self.flat, self.used + len(ids))
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
+    def _plain(self, texts: pa.LargeStringArray) -> list[np.ndarray]:
+        edges = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1)
+        data = np.frombuffer(texts.buffers()[2], np.uint8, int(edges[-1]))
+        opens = (data == 0x20) | (data == 0x0A)
+        # A full stop or comma never joins the letter or digit before it.
+        opens[1:] |= MARKS[data[1:]] & LETTERS[data[:-1]]
+        opens[edges[:-1]] = True
+        starts = np.flatnonzero(opens)
+        ends = pa.py_buffer(np.append(starts, len(data)))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, ends, texts.buffers()[2]])
+        coded = pieces.dictionary_encode()
+        numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        sizes = self.sizes[numbers]
+        stops = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.starts[numbers] - stops + sizes, sizes) + np.arange(stops[-1])]
+        return np.split(ids, stops[np.searchsorted(starts, edges[1:-1]) - 1])
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of distinct pieces, new ones included."""
+        if len(self.numbers) > self.most or self.weight > 64 * self.most:
+            self._forget()
+        numbers = self.numbers
+        fresh = [p for p in pieces if p not in numbers]
+        if fresh:
+            self._learn(fresh)
+        found = np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(pieces))
+        self.turn += 1
+        self.last_use[found] = self.turn
+        return found
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces. One that is letters, behind a space or not, is one pre-token and goes
+        to the model as it is; the others, at the start of a line or not, are encoded."""
+        tokens = self.tokenizer.model.tokenize
+        plain = [p[p[0] == " " :].isalpha() and max(p) < LATIN_END for p in pieces]
+        coded = [
+            [t.id for t in tokens(p.translate(BYTE_LETTERS))] if ok else None for p, ok in zip(pieces, plain, strict=True)
+        ]
+        for first, opens, skip in ((" ", self.spaces, 0), ("\n", self.feeds, 0), ("", self.feeds, 1)):
+            # Pieces without a blank stand behind a line feed of their own.
+            own = [k for k, ok in enumerate(plain) if not ok and (pieces[k][0] if pieces[k][0] in " \n" else "") == first]
+            for start in range(0, len(own), _LEARN):
+                part = own[start : start + _LEARN]
+                text = "".join("\n" * skip + pieces[k] for k in part)
+                ids = np.array(self._batch([text])[0])
+                starts = np.flatnonzero(opens[ids])
+                if len(starts) != len(part):
+                    raise AssertionError("pieces and ids do not line up")
+                ids, starts = ids.tolist(), [*starts.tolist(), len(ids)]
+                for k, low, high in zip(part, starts, starts[1:]):
+                    coded[k] = ids[low + skip : high]
+        first = len(self.numbers)
+        last = first + len(pieces)
+        self.numbers.update(zip(pieces, range(first, last)))
+        self.weight += sum(map(len, pieces))
+        self.starts, self.sizes, self.last_use = (_grown(a, last) for a in (self.starts, self.sizes, self.last_use))
+        sizes = self.sizes[first:last] = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.starts[first:last] = self.used + np.cumsum(sizes) - sizes
+        total = self.used + int(sizes.sum())
+        self.flat = _grown(self.flat, total)
+        self.flat[self.used : total] = np.fromiter(chain.from_iterable(coded), np.uint32, total - self.used)
+        self.used = total
+
+    def _forget(self) -> None:
+        """Keep the half of the pieces used last."""
+        count = len(self.numbers)
+        recent = self.last_use[:count] > np.median(self.last_use[:count])
+        keep = np.flatnonzero(recent)
+        pieces = list(self.numbers)
+        pieces = [pieces[k] for k in keep]
+        self.numbers = dict(zip(pieces, range(len(pieces))))
+        self.weight = sum(map(len, pieces))
+        starts, sizes = self.starts[keep], self.sizes[keep]
+        stops = np.cumsum(sizes)
+        self.used = int(stops[-1]) if len(stops) else 0
+        self.flat = self.flat[np.repeat(starts - stops + sizes, sizes) + np.arange(self.used)]
+        self.starts, self.sizes, self.last_use = stops - sizes, sizes, self.last_use[keep]
 
     def _safe(self, text: str) -> bool:
         """Whether all blanks are single spaces and line feeds between words."""
@@ -326,25 +379,27 @@ class Pieces:
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joined(self, numbers: np.ndarray) -> np.ndarray:
-        """Concatenate the ids of pieces."""
-        starts, sizes = self.starts[numbers], self.sizes[numbers]
-        ends = np.cumsum(sizes)
-        steps = np.repeat(starts - ends + sizes, sizes)
-        return self.flat[steps + np.arange(len(steps))]
 
+# --- Spark jobs -------------------------------------------------------------------------
 
-def _of_worker(files: Files) -> Pieces:
-    """The pieces that this Python worker knows; Spark reuses workers between tasks."""
-    if not files.kept:
-        return Pieces(files)
-    memo = sys.modules.setdefault("_token_pieces", ModuleType("_token_pieces"))
-    if getattr(memo, "files", None) != (files.tokenizer, files.cached):
-        memo.files, memo.pieces = (files.tokenizer, files.cached), Pieces(files)
-    return memo.pieces
+#: A task learns its pieces anew, so fewer and larger tasks learn fewer in all.
+LARGE_TASKS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "192m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
 
 
-# --- Spark jobs -------------------------------------------------------------------------
+def blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about `_BLOCK_BYTES` of text."""
+    texts = batch.column("text")
+    sums = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        done = int(sums[start - 1]) if start else 0
+        stop = int(np.searchsorted(sums, done + _BLOCK_BYTES, "right"))
+        stop = min(max(stop, start + 1), start + _BLOCK_DOCS, batch.num_rows)
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def write_token_files(docs: DataFrame, path: str, files: Files, id_: str = "doc_id", text: str = "text") -> None:
@@ -365,15 +420,14 @@ def write_token_files(docs: DataFrame, path: str, files: Files, id_: str = "doc_
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pieces = _of_worker(files)
+        pieces = Pieces(files)
         end = np.array([files.end], np.uint32)
 
         def made() -> Iterator[tuple]:
             ids, docs_, total, seq, part = [], [], 0, 0, 0
             for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    block = batch.slice(start, 256)
-                    part = block.column("part")[0].as_py() if block.num_rows else part
+                for block in blocks(batch):
+                    part = block.column("part")[0].as_py()
                     coded = pieces.encode(block.column("text").to_pylist())
                     for id__, own in zip(block.column("id").to_pylist(), coded, strict=True):
                         ids.append(id__)
@@ -388,12 +442,9 @@ def write_token_files(docs: DataFrame, path: str, files: Files, id_: str = "doc_
         yield from batched(made(), fields, size=1)
 
     # The text writer copies bytes as they are; one row per file, and a line end as padding.
-    (
-        ordered.mapInArrow(work, "data binary")
-        .select(F.col("data").cast("string").alias("value"))
-        .write.option("maxRecordsPerFile", 1)
-        .text(path)
-    )
+    shards = ordered.mapInArrow(work, "data binary").select(F.col("data").cast("string").alias("value"))
+    with session_conf(docs.sparkSession, LARGE_TASKS):
+        shards.write.option("maxRecordsPerFile", 1).text(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
