@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,8 @@ SUBTREE = 1024
 class Mix:
     """weights repeat over the sources in order; amount and most are in percent of the words.
 
-    block_words and shard_words set the sizes of blocks and output shards.
+    block_words and shard_words set the sizes of blocks and output shards; a share `slack` of a
+    target may stay open.
     """
 
     weights: tuple[int, ...] = (5, 2, 1)
@@ -52,6 +54,7 @@ class Mix:
     most: int = 200
     block_words: int = 50_000
     shard_words: int = 1_000_000
+    slack: float = 0.0005
     seed: int = 20_240_601
 
 
@@ -101,7 +104,12 @@ def plan(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
 
     sources: source, source_size, target, blocks (their number). blocks: source, block and
     takings, one for each time it is drawn: pass, shard and whether all of it is taken, or else
-    the size and spread down to which it is (cut_size, cut) and single spreads beyond (more).
+    the ranges of (size, spread) that are (cuts).
+
+    A source's slots are its blocks in the order of their ranks, pass after pass, while they fit; of
+    the last one those documents are taken that do. Where a long document leaves more than `slack`
+    of the target open, another round goes on behind that slot with the documents short enough
+    for what is left, until nothing fits or little is missing.
     """
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = saved(
@@ -110,51 +118,111 @@ def plan(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
         ),
         "sources",
     )
-    blocks = saved(
-        with_block(sized, sources)
-        .groupBy("source", "block")
-        .agg(F.sum("size").alias("words")),
-        "blocks",
-    )
-    # One pass is a permutation of the blocks; passes differ. Only counts go through this window.
+    placed = with_block(sized, sources).filter("size > 0")
     passes = F.explode(F.sequence(F.lit(0), F.lit(-(-mix.most // 100) - 1)))
-    order = W.partitionBy("source", "pass").orderBy("rank", "block")
-    slots = (
-        blocks.join(sources.select(F.col("source").alias("s"), "source_size", "target"), F.expr("source <=> s"))
-        .drop("s")
-        .withColumn("pass", passes)
-        .withColumn("rank", F.xxhash64(F.lit(mix.seed), "source", "block", "pass"))
-        .withColumn("slot_in_pass", F.row_number().over(order) - 1)
-        .withColumn("upto", F.sum("words").over(order.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("start", F.col("pass") * F.col("source_size") + F.col("upto") - F.col("words"))
-        .filter((F.col("start") < F.col("target")) & (F.col("words") > 0))
-        .withColumn("slot", F.row_number().over(W.partitionBy("source").orderBy("pass", "rank", "block")) - 1)
-        # The words that the target still allows; less than all of them in the last slot only.
-        .withColumn("room", F.col("target") - F.col("start"))
-    )
-    slots = saved(slots.select("source", "block", "pass", "slot", "words", "room"), "slots")
+    open_ = sources.select(
+        F.col("source").alias("s"), "target", F.col("target").alias("left"), F.lit(0).cast("long").alias("slots")
+    ).filter("left > 0")
+    rows, found, first = placed, [], True
+    while True:
+        # `left` is also the size of the longest document that can still be taken.
+        if not first:
+            rows = placed.join(open_, F.expr("source <=> s")).filter(
+                (F.col("size") <= F.col("left")) & (F.struct(_rank(mix, F.col("pass")), "block") > F.struct("at.rank", "at.block"))
+            )
+        blocks = rows.groupBy("source", "block", *([] if first else ["pass"])).agg(F.sum("size").alias("words"))
+        if first:
+            blocks = saved(blocks, "blocks").withColumn("pass", passes)
+        slots = saved(_slots(blocks.withColumn("rank", _rank(mix, F.col("pass"))), open_), "slots")
+        cut = saved(_cuts(rows, slots.filter("room < words")), "cuts")
+        here = slots.join(
+            cut.select(F.col("source").alias("s"), F.col("block").alias("b"), F.col("pass").alias("p"), "cuts", "filled"),
+            F.expr("source <=> s AND block = b AND pass = p"), "left",
+        )
+        whole = F.col("room") >= F.col("words")
+        short = F.array(F.struct(
+            F.floor("left").alias("from_size"), F.lit(-(1 << 63)).alias("from_spread"),
+            F.lit(0).cast("long").alias("to_size"), F.lit((1 << 63) - 1).alias("to_spread"),
+        ))
+        here = saved(
+            here.select(
+                "source", "block", "pass", "rank", "slot", whole.alias("all") if first else F.lit(False).alias("all"),
+                (F.col("cuts") if first else F.when(whole, short).otherwise(F.col("cuts"))).alias("cuts"),
+                F.when(whole, F.col("words")).otherwise(F.coalesce("filled", F.lit(0))).alias("words"),
+            ),
+            "round",
+        )
+        found.append(here.drop("rank"))
+        done = here.groupBy(F.col("source").alias("s1")).agg(
+            F.sum("words").alias("words"), F.count(F.lit(1)).alias("n"),
+            F.max(F.struct("pass", "rank", "block")).alias("last"),
+        )
+        # A round that took nothing found nothing short enough.
+        open_ = saved(
+            open_.join(done, F.expr("s <=> s1"))
+            .select(
+                "s", "target", (F.col("left") - F.col("words")).alias("left"), (F.col("slots") + F.col("n")).alias("slots"),
+                F.col("last.pass").alias("pass"), F.col("last").alias("at"), "words",
+            )
+            .filter((F.col("left") > mix.slack * F.col("target")) & (F.col("left") >= 1) & (F.col("words") > 0)),
+            "open",
+        ).drop("words")
+        first = False
+        if open_.isEmpty():
+            break
+    slots = reduce(DataFrame.unionByName, found)
     quotas = slots.groupBy("source").agg(F.count(F.lit(1)).alias("slots"))
     shard_of = deal(quotas, slots.agg(F.sum("words")).first()[0] or 0, mix)
     dealt = slots.join(
         shard_of.select(F.col("source").alias("s"), F.col("slot").alias("k"), "shard"),
         F.expr("source <=> s AND slot = k"),
     )
-    cut = saved(_cuts(sized, sources, slots.filter("room < words")), "cuts")
-    cut = cut.select(
-        F.col("source").alias("s"), F.col("block").alias("b"), F.col("pass").alias("p"),
-        "cut_size", "cut", "more",
-    )
-    taken = dealt.drop("s").join(cut, F.expr("source <=> s AND block = b AND pass = p"), "left")
-    grouped = taken.groupBy("source", "block").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct("pass", "shard", "cut_size", "cut", "more", (F.col("room") >= F.col("words")).alias("all"))
-            )
-        ).alias("takings")
+    grouped = dealt.groupBy("source", "block").agg(
+        F.sort_array(F.collect_list(F.struct("pass", "shard", "cuts", "all"))).alias("takings")
     )
     return sources, saved(grouped, "takings")
 
 
+#: The high bits of a block's rank that number its bucket; ranks are spread evenly.
+_BUCKET_BITS = 12
+
+
+def _rank(mix: Mix, turn: Column) -> Column:
+    """Place of a block in a pass, whose order is a permutation of its own."""
+    return F.xxhash64(F.lit(mix.seed), "source", "block", turn.cast("int"))
+
+
+def _slots(blocks: DataFrame, open_: DataFrame) -> DataFrame:
+    """Rows (source, block, pass, rank, slot, words, room, left): the blocks that begin before a source's
+    `left` words are full, in the order of (pass, rank).
+
+    Running sums over a source go in two levels, within a bucket of ranks and over the buckets'
+    totals, so that a source with very many blocks is dealt to as many tasks as it has buckets.
+    """
+    bucket = F.col("pass") * (1 << _BUCKET_BITS) + F.shiftright("rank", 64 - _BUCKET_BITS)
+    ranked = blocks.withColumn("bucket", bucket)
+    over = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    totals = ranked.groupBy("source", "bucket").agg(F.sum("words").alias("w"), F.count(F.lit(1)).alias("c"))
+    before = totals.select(
+        F.col("source").alias("s1"), F.col("bucket").alias("k"),
+        F.coalesce(F.sum("w").over(over), F.lit(0)).alias("words_before"),
+        F.coalesce(F.sum("c").over(over), F.lit(0)).alias("slots_before"),
+    )
+    within = W.partitionBy("source", "bucket").orderBy("rank", "block")
+    start = F.col("words_before") + F.sum("words").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("words")
+    placed = (
+        ranked.join(before, F.expr("source <=> s1 AND bucket = k"))
+        .withColumn("start", start)
+        .withColumn("nth", F.row_number().over(within) - 1)
+        .join(open_.select(F.col("s"), "left", "slots"), F.expr("source <=> s"))
+    )
+    return placed.filter(F.col("start") < F.col("left")).select(
+        "source", "block", "pass", "rank", (F.col("slots") + F.col("slots_before") + F.col("nth")).alias("slot"), "words",
+        # The words still allowed; less than all of them in the last slot only.
+        (F.col("left") - F.col("start")).alias("room"), "left",
+    )
+
+
 def with_block(sized: DataFrame, sources: DataFrame) -> DataFrame:
     """Add `block`, the block of each row in its source."""
     side = sources.select(F.col("source").alias("_s"), F.col("blocks").alias("_blocks"))
@@ -165,60 +233,55 @@ def with_block(sized: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+_RANGE = pa.struct([(n, pa.int64()) for n in ("from_size", "from_spread", "to_size", "to_spread")])
 _CUT = pa.schema(
-    [("source", pa.string()), ("block", pa.int64()), ("pass", pa.int32()), ("cut_size", pa.int64()),
-     ("cut", pa.int64()), ("more", pa.list_(pa.int64()))]
-)
-
-#: Documents taken one by one where the next in order would overshoot.
-FILL = 256
+    [("source", pa.string()), ("block", pa.int64()), ("pass", pa.int32()), ("cuts", pa.list_(_RANGE)), ("filled", pa.int64())]
+)
 
 
-def _cuts(sized: DataFrame, sources: DataFrame, last: DataFrame) -> DataFrame:
-    """Which documents of the last slot of each source are taken, so that the slot's words come
-    near what the target still allows.
+def _cuts(rows: DataFrame, last: DataFrame) -> DataFrame:
+    """Which documents of a source's last slot are taken, and their words (filled).
 
-    Large documents come first, so that small ones fill the rest: all down to (cut_size, cut),
-    by size and then by spread, and those in `more` that still fit. One block of each source
-    passes here, about `block_words` words.
+    Documents go by size, large ones first, then by spread; each is taken that still fits. What is
+    taken is a list of ranges in that order. A document that does not fit is longer than what is
+    left then, and one not longer than itself must be taken before the next such, so what is left
+    halves from one to the next: there are no more ranges than binary digits in the slot's words.
+    (Repeated rows, which are taken together or not at all, may add one each.) One block of each
+    source passes here, about `block_words` words.
     """
-    last = last.select(F.col("source").alias("s"), F.col("block").alias("b"), "pass", "room")
-    # Rows with one spread are copies, taken together or not at all.
+    last = last.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("pass").alias("_p"), "room")
     found = (
-        with_block(sized, sources)
-        .join(last, F.expr("source <=> s AND block = b"))
-        .groupBy("source", "block", "pass", "room", "spread")
+        rows.select("source", "block", "size", "spread")
+        .join(last, F.expr("source <=> _s AND block = _b"))
+        .groupBy("source", "block", F.col("_p").alias("pass"), "room", "spread")
         .agg(F.max("size").alias("one"), F.sum("size").alias("size"))
         .repartition("source")
-        .sortWithinPartitions("source", F.col("one").desc(), "spread")
+        .sortWithinPartitions("source", "block", "pass", F.col("one").desc(), "spread")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made() -> Iterator[tuple]:
-            key = None
+            key, ranges, fits = None, [], False
             for source, block, turn, room, spread, one, size in rows_of(
                 batches, ("source", "block", "pass", "room", "spread", "one", "size")
             ):
                 if key != (source, block, turn):
                     if key:
-                        yield *key, *cut, more
-                    key, left, cut, more, whole = (source, block, turn), room, (None, None), [], True
-                if size <= left and (whole or len(more) < FILL):
-                    left -= size
-                    if whole:
-                        cut = one, spread
-                    else:
-                        more.append(spread)
-                else:
-                    whole = False
+                        yield *key, ranges, filled
+                    key, left, ranges, fits, filled = (source, block, turn), room, [], False, 0
+                went_on, fits = fits, size <= left
+                if fits:
+                    left, filled = left - size, filled + size
+                    if not went_on:
+                        ranges.append({"from_size": one, "from_spread": spread})
+                    ranges[-1] |= {"to_size": one, "to_spread": spread}
             if key:
-                yield *key, *cut, more
+                yield *key, ranges, filled
 
         yield from batched(made(), _CUT)
 
-    return found.mapInArrow(
-        work, "source string, block long, pass int, cut_size long, cut long, more array<long>"
-    )
+    layout = "from_size: bigint, from_spread: bigint, to_size: bigint, to_spread: bigint"
+    return found.mapInArrow(work, f"source string, block long, pass int, cuts array<struct<{layout}>>, filled long")
 
 
 def split(node: int, counts: np.ndarray, left: int, seed: int) -> np.ndarray:
@@ -295,13 +358,13 @@ def takings(sized: DataFrame, mix: Mix) -> DataFrame:
         blocks.select(F.col("source").alias("_s"), F.col("block").alias("_b"), "takings"),
         F.expr("source <=> _s AND block = _b"), "left",
     )
-    mine = F.filter(
-        "takings",
-        lambda t: t["all"]
-        | (F.col("size") > t["cut_size"])
-        | ((F.col("size") == t["cut_size"]) & (F.col("spread") <= t["cut"]))
-        | F.array_contains(t["more"], F.col("spread")),
-    )
+    size, spread = F.col("size"), F.col("spread")
+
+    def within(r: Column) -> Column:
+        after = (size < r["from_size"]) | ((size == r["from_size"]) & (spread >= r["from_spread"]))
+        return after & ((size > r["to_size"]) | ((size == r["to_size"]) & (spread <= r["to_spread"])))
+
+    mine = F.filter("takings", lambda t: t["all"] | F.exists(t["cuts"], within))
     shards = F.when(F.col("size") > 0, F.transform(mine, lambda t: t["shard"]))
     out = joined.withColumn("shards", F.coalesce(shards, F.array().cast("array<long>")))
     side = sources.select(F.col("source").alias("_s2"), "source_size", "target")
