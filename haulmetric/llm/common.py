@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -18,6 +19,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python workers a few megabytes at a time: texts are held several times over there."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def saved(frame: DataFrame, label: str) -> DataFrame:
     """Write rows to the shared scratch folder and read them back.
 
@@ -80,12 +87,15 @@ def word_codes(text: str | None, fold: bool = True) -> np.ndarray:
     A word's hash is a difference of two running sums of byte times power, so that no word
     becomes a Python object. Long texts go through in blocks that end at a blank.
     """
-    if not text:
-        return np.empty(0, np.uint64)
-    data = np.frombuffer(text.encode(), np.uint8)
+    return byte_codes(text.encode(), fold) if text else np.empty(0, np.uint64)
+
+
+def byte_codes(text: bytes, fold: bool = True) -> np.ndarray:
+    """word_codes() of a text in UTF-8."""
+    data = np.frombuffer(text, np.uint8)
     if fold:
         data = FOLD[data]
-    found, start = [], 0
+    found, start = [np.empty(0, np.uint64)], 0
     while start < len(data):
         stop = start + _BLOCK
         while stop < len(data) and not (gap := BLANK[data[stop : stop + _BLOCK]]).any():
@@ -202,10 +212,22 @@ def rows_of(batches: Iterable[pa.RecordBatch], names: Sequence[str]) -> Iterator
             yield from zip(*(part.column(name).to_pylist() for name in names), strict=True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks, and serve other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def batched(
     rows: Iterable[tuple], schema: pa.Schema, size: int = 4096, most_bytes: int = 16 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """Record batches of at most `size` rows, closed early when their binaries are large."""
+    """Record batches of at most `size` rows, closed early when their binaries are large.
+
+    `rows` is a generator whose own arrays are gone at its end; then memory is given back.
+    """
     held: list[tuple] = []
     weight = 0
     for row in rows:
@@ -216,6 +238,8 @@ def batched(
             held, weight = [], 0
     if held:
         yield _batch(held, schema)
+    del held
+    give_back()
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -24,11 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmetric.llm.common import (
     batched,
+    byte_codes,
     columns_of,
     deletion_hashes,
     identity,
@@ -110,11 +112,75 @@ def lines_of(
     return codes, of_word[first], first, np.append(first[1:], len(codes)).astype(np.int64), ends - starts
 
 
+#: Bytes of text whose lines are worked on together, however many texts these are.
+_GROUP = 2 << 20
+
+
+def groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices with about `_GROUP` bytes of text, of one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    sums, start = np.cumsum(sizes, dtype=np.int64), 0
+    while start < batch.num_rows:
+        done = sums[start - 1] if start else 0
+        stop = max(int(np.searchsorted(sums, done + _GROUP, "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+_ROWS = pa.schema(
+    [("nameless", pa.int32()), ("ident", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()),
+     ("halves", pa.list_(pa.int64()))]
+)
+
+
+def line_rows(part: pa.RecordBatch, lines: Lines) -> Iterator[pa.RecordBatch]:
+    """(nameless, ident, line, hash, halves) of the lines with a word, for all texts of a group at
+    once: put one below the other, they are one text whose lines are counted from each start."""
+    texts = [(t or "").encode() for t in part.column("text").to_pylist()]
+    whole = b"\n".join(texts)
+    raw = np.frombuffer(whole, np.uint8)
+    starts, _ = word_spans(raw)
+    codes = byte_codes(whole, fold=False)
+    feeds = np.concatenate(([0], np.cumsum(raw == 10)))
+    of_word = feeds[starts]
+    first = np.flatnonzero(np.diff(of_word, prepend=-1))
+    last = np.append(first[1:], len(codes)).astype(np.int64)
+    if not len(first):
+        return
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    doc = np.searchsorted(begins, starts[first], "right") - 1
+    number = of_word[first] - feeds[begins[doc]]
+    hashes = range_hashes(codes, first, last).view(np.int64)
+    compared = lines.compared(last - first)
+    keys = halves(codes, first[compared], last[compared]) if compared.any() else np.empty((0, 4), np.int64)
+    # A null offset is a null list.
+    offsets = np.append(4 * (np.cumsum(compared) - compared), 4 * compared.sum())
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=np.append(~compared, False)), pa.array(keys.ravel()))
+    columns = [
+        part.column("nameless").to_numpy()[doc], part.column("ident").to_numpy()[doc],
+        number.astype(np.int32), hashes,
+    ]
+    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], schema=_ROWS)
+
+
 def _spot(nameless: Column | str, ident: Column | str, line: Column | str) -> Column:
     """A 64-bit key of one place, for the Bloom filter."""
     return F.xxhash64(nameless, ident, line)
 
 
+def chosen_texts(batches: Iterator[pa.RecordBatch], bits: np.ndarray, lines: Lines) -> Iterator[tuple]:
+    """(nameless, ident, text, likely) of the texts with a line whose place the Bloom filter knows."""
+    for batch in batches:
+        for part in groups(batch):
+            spots = part.column("spots")
+            edges = spots.offsets.to_numpy() - spots.offsets[0].as_py()
+            likely = in_bloom(spots.flatten().to_numpy(), bits, lines.bloom_bits)
+            some = np.flatnonzero(np.diff(np.concatenate(([0], np.cumsum(likely)))[edges]))
+            rows = part.select(["nameless", "ident", "text"]).take(pa.array(some)).to_pylist()
+            for k, row in zip(some.tolist(), rows, strict=True):
+                yield *row.values(), likely[edges[k] : edges[k + 1]]
+
+
 def line_duplicates(docs: DataFrame, lines: Lines = Lines(), id_: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (nameless, ident, line, of, edits) of the lines to drop.
 
@@ -122,27 +188,11 @@ def line_duplicates(docs: DataFrame, lines: Lines = Lines(), id_: str = "doc_id"
     or near (edits 1).
     """
     source = identity(docs, id_, text)
-    schema = pa.schema(
-        [("nameless", pa.int32()), ("ident", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()),
-         ("halves", pa.list_(pa.int64()))]
-    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made() -> Iterator[tuple]:
-            for nameless, ident, body in rows_of(batches, ("nameless", "ident", "text")):
-                codes, numbers, first, last, _ = lines_of(body)
-                if not len(numbers):
-                    continue
-                whole = range_hashes(codes, first, last).view(np.int64).tolist()
-                keys: list[list[int] | None] = [None] * len(numbers)
-                long = np.flatnonzero(lines.compared(last - first))
-                if len(long):
-                    for k, own in zip(long, halves(codes, first[long], last[long]).tolist(), strict=True):
-                        keys[k] = own
-                for number, hash_, own in zip(numbers.tolist(), whole, keys, strict=True):
-                    yield nameless, ident, number, hash_, own
-
-        yield from batched(made(), schema)
+        for batch in batches:
+            for part in groups(batch):
+                yield from line_rows(part, lines)
 
     rows = saved(
         source.mapInArrow(work, "nameless int, ident long, line int, hash long, halves array<long>"),
@@ -181,10 +231,7 @@ def _near(source: DataFrame, distinct: DataFrame, lines: Lines) -> DataFrame:
         bits = shared_bits.value
 
         def made() -> Iterator[tuple]:
-            for nameless, ident, body, spots in rows_of(batches, ("nameless", "ident", "text", "spots")):
-                likely = in_bloom(np.array(spots or [], np.int64), bits, lines.bloom_bits)
-                if not likely.any():
-                    continue
+            for nameless, ident, body, likely in chosen_texts(batches, bits, lines):
                 codes, numbers, first, last, sizes = lines_of(body)
                 chosen = likely[numbers] & lines.compared(last - first)
                 whole = range_hashes(codes, first, last).view(np.int64)
@@ -257,7 +304,7 @@ def _near(source: DataFrame, distinct: DataFrame, lines: Lines) -> DataFrame:
         .join(words_of.toDF("h2", "b"), F.col("of.hash") == F.col("h2"))
         .select("place", "of", "a", "b")
     )
-    verdict = F.pandas_udf(_verify, "boolean")
+    verdict = F.arrow_udf(_verify, "boolean")
     return (
         checked.filter(verdict("a", "b"))
         .groupBy("place")
@@ -269,10 +316,8 @@ def _near(source: DataFrame, distinct: DataFrame, lines: Lines) -> DataFrame:
     )
 
 
-def _verify(a, b):
-    import pandas as pd
-
-    return pd.Series([one_edit(list(x), list(y)) for x, y in zip(a, b, strict=True)], dtype=bool)
+def _verify(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([one_edit(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.bool_())
 
 
 def without_lines(docs: DataFrame, lines: Lines = Lines(), id_: str = "doc_id", text: str = "text") -> DataFrame:
@@ -302,3 +347,30 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("nameless") == 0, F.col("ident")).alias("doc_id"), "line",
         named("of").alias("of_doc_id"), F.col("of")["line"].alias("of_line"), "edits",
     )
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL of op3: every pair of lines with an equal variant. Ids are not null here."""
+    lines = EVERY_LENGTH
+    return rf"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
+  FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, line, regexp_extract_all(body, '[^\x20\x09-\x0D]+') AS w FROM lines),
+d AS (SELECT w, min({{'doc_id': doc_id, 'line': line}}) AS place FROM l WHERE len(w) > 0 GROUP BY w),
+sized AS (SELECT *, list_transform(w, lambda x: octet_length(encode(x))) AS letters FROM d),
+slots AS (
+  SELECT w, place, slot FROM (SELECT *, unnest(range(len(w))) AS slot FROM sized)
+  WHERE (len(w) >= {lines.near_words} OR 100 * letters[slot + 1] <= {lines.short_share} * list_sum(letters))
+  UNION ALL SELECT w, place, -1 FROM sized),
+v AS (
+  SELECT place, slot, CASE WHEN slot < 0 THEN w ELSE list_concat(w[1:slot], w[slot + 2:]) END AS variant FROM slots),
+near AS (
+  SELECT a.place AS place, min(b.place) AS of_place
+  FROM v a JOIN v b ON a.variant = b.variant AND b.place < a.place
+    AND ((a.slot = b.slot AND a.slot >= 0) OR (a.slot < 0) <> (b.slot < 0))
+  GROUP BY a.place)
+SELECT doc_id, line::INT AS line, place.doc_id AS of_doc_id, place.line::INT AS of_line, 0 AS edits
+FROM l JOIN d USING (w) WHERE {{'doc_id': doc_id, 'line': line}} > place
+UNION ALL
+SELECT place.doc_id, place.line::INT, of_place.doc_id, of_place.line::INT, 1 FROM near"""
