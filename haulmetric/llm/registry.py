@@ -49,6 +49,7 @@ def oracle_sql() -> dict[str, str]:
     """Queries without SQL are compared with plain Python in tests/llm."""
     found = {
         "op1_quality_rules": quality.oracle_sql(),
+        "op3_line_dedup": line_dedup.oracle_sql(),
         "op4_warc": warc.oracle_sql(),
         "op10_ngram_join": ngram_join.oracle_sql(),
         "op11_vector_codes": vector_codes.oracle_sql(),
