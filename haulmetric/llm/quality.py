@@ -20,7 +20,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,14 +107,19 @@ def measures(text: str | None) -> tuple[int, ...]:
     )
 
 
-def _measured(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([measures(t) for t in texts], columns=list(MEASURES), dtype="int64")
+def _measured(texts: pa.Array) -> pa.Array:
+    found = np.empty((len(texts), len(MEASURES)), np.int64)
+    # A few texts at a time as Python objects.
+    for start in range(0, len(texts), 256):
+        for k, text in enumerate(texts.slice(start, 256).to_pylist(), start):
+            found[k] = measures(text)
+    return pa.StructArray.from_arrays([pa.array(column) for column in found.T], names=list(MEASURES))
 
 
 def measure(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """Add the struct column `into` with the MEASURES of each text."""
     # Not deterministic in name only: the optimiser then never runs the function twice.
-    measured = F.pandas_udf(_measured, _STRUCT).asNondeterministic()
+    measured = F.arrow_udf(_measured, _STRUCT).asNondeterministic()
     return docs.withColumn(into, measured(quoted(text).cast("string")))
 
 
@@ -263,7 +268,7 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    measured = saved(measure(docs, "m").drop("text"), "measures")
+    measured = saved(measure(docs, "m").select("doc_id", "lang", "source", "m"), "measures")
     fences = saved(thresholds(sketch(measured, "m")), "fences")
     return judge(measured, "m", fences, "kept").select(
         "doc_id",

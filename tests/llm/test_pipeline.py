@@ -60,3 +60,21 @@ def test_run_equals_its_stages_in_plain_python(spark, tmp_path):
         ids = np.array(tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids + [2], "<u4")
         assert (r.start, r.n_tokens) == (start, len(ids))
         start += len(ids)
+
+
+def test_run_on_an_empty_table_and_on_odd_rows(spark, tmp_path):
+    """Odd rows go through every stage, and their tokens are those of the texts that stayed."""
+    benchmark = spark.createDataFrame([(1, None), (2, ""), (None, "x")], "item_id long, text string")
+    for name, docs in (("empty", corpus.odd(spark).limit(0)), ("odd", corpus.odd(spark))):
+        sf = corpus.stored(docs, tmp_path / name)
+        benchmark.write.parquet(f"{sf}/benchmark.parquet")
+        rows = corpus_pipeline.run(spark, sf).collect()
+        texts = {i: t for i, t, _, _ in corpus.odd_rows()}
+        assert (len(rows) == 0) == (name == "empty")
+        assert {r.doc_id for r in rows} <= {k for k, t in texts.items() if t and len(t.split()) >= quality.MIN_WORDS}
+
+
+def test_rows_reach_python_workers_in_small_batches(spark, sf_dir):
+    for _, stage in corpus_pipeline.STAGES[:1]:
+        stage(spark, corpus.odd(spark), sf_dir)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4m"
