@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmetric.llm.common import read, saved
+from haulmetric.llm.common import read, saved, small_batches
 from haulmetric.llm.decontaminate import decontaminated
 from haulmetric.llm.mixing import mixed_documents
 from haulmetric.llm.ngram_join import Join, one_per_class
@@ -20,14 +20,17 @@ NEAR = Join(size=5, percent=80)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality_rules(docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return one_per_class(docs, NEAR)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
@@ -36,6 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return token_files(docs)
 
 
