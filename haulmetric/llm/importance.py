@@ -39,7 +39,7 @@ from haulmetric.llm.common import (
     window_hashes,
     word_codes,
 )
-from haulmetric.llm.ngram_join import chunked, merged
+from haulmetric.llm.ngram_join import ARRAY_TASKS, chunked, merged
 
 #: Steps of a rank per unit of log weight, and the rank of a text without words.
 RANK_SCALE = 1 << 24
@@ -111,7 +111,7 @@ def ngram_counts(docs: DataFrame, good: np.ndarray, how: Resampling) -> np.ndarr
                 np.add.at(total[1], found, np.uint64(1))
         yield from chunked(total.ravel())
 
-    rows = docs.select("id", "text").mapInArrow(work, "chunk int, data binary")
+    rows = docs.select("id", "text").coalesce(ARRAY_TASKS).mapInArrow(work, "chunk int, data binary")
     found = merged(rows, np.uint64, np.add)
     return found.reshape(2, size) if len(found) else np.zeros((2, size), np.uint64)
 

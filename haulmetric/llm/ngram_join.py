@@ -43,6 +43,9 @@ from haulmetric.llm.common import (
 from haulmetric.llm.components import components
 
 CHUNKS = 64
+#: Tasks that each fill an array of a fixed size; more than that read several splits each, so that
+#: what they send stays bounded, too.
+ARRAY_TASKS = 8192
 
 
 @dataclass(frozen=True)
@@ -111,7 +114,7 @@ def count_sketch(docs: DataFrame, join: Join) -> np.ndarray:
             np.add.at(total, (shingles(text, join.size) >> shift).astype(np.int64), np.uint32(1))
         yield from chunked(total)
 
-    found = merged(docs.select("text").mapInArrow(count, "chunk int, data binary"), np.uint32, np.add)
+    found = merged(docs.select("text").coalesce(ARRAY_TASKS).mapInArrow(count, "chunk int, data binary"), np.uint32, np.add)
     return found if len(found) else np.zeros(1 << join.sketch_bits, np.uint32)
 
 
@@ -175,7 +178,7 @@ def bloom(keys: DataFrame, bits: int) -> np.ndarray:
         yield from chunked(found)
 
     found = merged(
-        keys.select("key").mapInArrow(work, "chunk int, data binary"), np.uint8, np.bitwise_or
+        keys.select("key").coalesce(ARRAY_TASKS).mapInArrow(work, "chunk int, data binary"), np.uint8, np.bitwise_or
     )
     return found if len(found) else np.zeros(1 << (bits - 3), np.uint8)
 
@@ -271,17 +274,23 @@ def _may_match(x: str, y: str, percent: int) -> Column:
     return earlier + F.least(n - at(x, "pos"), m - at(y, "pos")) >= least
 
 
-def _active(nodes: DataFrame) -> DataFrame:
+def _active(nodes: DataFrame, join: Join) -> DataFrame:
     """Postings (token, node, pos, n, ell, earlier, own) of the tokens that two or more nodes hold.
 
     earlier: how many such tokens the node's prefix has before this one; own: how many tokens of
-    its prefix no other prefix holds.
+    its prefix no other prefix holds. Most tokens are one node's own; a Bloom filter of the others
+    keeps their postings from being shuffled a second time, unless these are too many for it.
     """
     postings = nodes.select(
         "node", "n", "ell", F.size("prefix").alias("asked"), F.posexplode("prefix").alias("pos", "token")
     )
-    shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    held = postings.join(shared.select("token"), "token")
+    shared = saved(
+        postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select(F.col("token").alias("key")),
+        "shared",
+    )
+    if shared.count() <= (1 << join.bloom_bits) // 4:
+        postings = _likely(nodes, shared, join)
+    held = postings.join(shared.withColumnRenamed("key", "token"), "token")
     # One node's tokens: bounded by the length of one text.
     node = Window.partitionBy("node")
     return saved(
@@ -292,9 +301,31 @@ def _active(nodes: DataFrame) -> DataFrame:
     )
 
 
+def _likely(nodes: DataFrame, shared: DataFrame, join: Join) -> DataFrame:
+    """The postings (node, n, ell, asked, pos, token) whose token a Bloom filter of `shared` knows."""
+    known = nodes.sparkSession.sparkContext.broadcast(bloom(shared, join.bloom_bits))
+    names = ["node", "n", "ell", "asked", "pos", "token"]
+    kinds = [pa.int64(), *[pa.int32()] * 4, pa.int64()]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefixes = batch.column("prefix")
+            sizes = np.diff(prefixes.offsets.to_numpy())
+            tokens = prefixes.flatten().to_numpy()
+            kept = np.flatnonzero(in_bloom(tokens, known.value, join.bloom_bits))
+            row = np.repeat(np.arange(len(sizes)), sizes)[kept]
+            place = kept - (np.cumsum(sizes) - sizes)[row]
+            of_row = [batch.column(n).to_numpy()[row] for n in ("node", "n", "ell")]
+            columns = [*of_row, sizes[row], place, tokens[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    layout = "node long, n int, ell int, asked int, pos int, token long"
+    return nodes.select("node", "n", "ell", "prefix").mapInArrow(work, layout)
+
+
 def _links(nodes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """Edges (a, b) that connect every class of similar nodes."""
-    lists = _active(nodes).withColumn("component", F.col("node"))
+    lists = _active(nodes, join).withColumn("component", F.col("node"))
     links = None
     tested = None
     for turn in range(join.star_rounds + 1):
