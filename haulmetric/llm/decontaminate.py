@@ -15,7 +15,7 @@ match: between two such matches a question may be as dense as it likes.
 An item that is dense itself, and got new values throughout, has no such match. It is found by an
 anchor, its window with the most plain words, and must then stand there as a whole: all its template
 words in order, with a one-to-one map of slot values. Its template must say something, by `telling`
-different plain words, and be rare: one that texts use with over `common` sets of values is a form.
+different plain words. However many texts fill it with values of their own, all of them are found.
 
 Defined results: null or empty texts and items match nothing; an item shorter than a window is
 one window of its own length; of fewer than `shortest` words it must have the same values and
@@ -81,7 +81,8 @@ class Leaks:
 
     A run of matching windows is a leak when it covers `share` percent of the item or `enough`
     words. Up to `broadcast_windows` benchmark windows (8 bytes each) go to every task as a
-    sorted array; a larger benchmark is joined by shuffle instead.
+    sorted array; a larger benchmark is joined by shuffle instead. `common` is for callers who want
+    forms left alone: whole templates that stand with more sets of values do not count then.
     """
 
     window: int = 8
@@ -90,7 +91,7 @@ class Leaks:
     share: int = 60
     enough: int = 13
     telling: int = 3
-    common: int = 100
+    common: int | None = None
     broadcast_windows: int = 4_000_000
 
 
@@ -454,7 +455,10 @@ def _whole_items(source: DataFrame, hits: DataFrame, anchors: DataFrame, leaks:
 
         yield from batched(made(), schema)
 
-    found = saved(asked.join(source, "row").mapInArrow(work, f"{layout}, values string"), "whole")
+    found = asked.join(source, "row").mapInArrow(work, f"{layout}, values string")
+    if leaks.common is None:
+        return found.drop("values")
+    found = saved(found, "whole")
     rare = found.groupBy("item").agg(F.count_distinct("values").alias("n")).filter(F.col("n") <= leaks.common)
     return found.join(rare.select("item"), "item", "left_semi").drop("values")
 

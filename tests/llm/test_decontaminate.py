@@ -152,6 +152,20 @@ def test_a_form_that_many_texts_fill_in_is_no_leak(spark):
     assert {r.id for r in found(spark, [*texts, f"q.\n{items[0]}"], items, Leaks(common=20))} == {30}
 
 
+def test_a_dense_question_is_caught_in_every_text_that_fills_it_in(spark, tmp_path):
+    """250 sets of values, by the operator and by the query: none is lost for being one of many."""
+    rng = random.Random(8)
+    item = filled(rng, FORMS[1])
+    texts = [f"a b c.\n{filled(rng, FORMS[1])}.\nd e f" for _ in range(250)] + [f"a b c.\n{corpus.prose(rng, 40)}"]
+    for leaks in (Leaks(), Leaks(broadcast_windows=3)):
+        assert sorted(r.id for r in found(spark, texts, [item], leaks)) == list(range(250))
+    sf = corpus.stored(corpus.frame(spark, [(k, t, "en", "a") for k, t in enumerate(texts)]), tmp_path)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    rows = dc.op7_decontaminate(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(250))
+    assert {(r.item_id, r.n_words, r.item_words, r.same_values) for r in rows} == {(1, 13, 13, False)}
+
+
 def plain_templates(text):
     """Words of a text as (slot kind or letters, letters), by regular expressions."""
     import re
