@@ -74,6 +74,18 @@ def test_run_on_an_empty_table_and_on_odd_rows(spark, tmp_path):
         assert {r.doc_id for r in rows} <= {k for k, t in texts.items() if t and len(t.split()) >= quality.MIN_WORDS}
 
 
+def test_texts_that_fill_in_a_dense_question_are_dropped_however_many(spark, tmp_path):
+    """250 texts hold the item with values of their own, and none of them gets through the stage."""
+    rng = random.Random(9)
+    form = "Add {} apples {} pears {} plums {} figs {} limes {} dates"
+    fill = lambda: form.format(*rng.sample(range(2, 99_999), 6))
+    rows = [(k, f"{corpus.prose(rng, 40)}.\n{fill()}.", "en", "a") for k in range(250)]
+    rows += [(k, corpus.prose(rng, 60), "en", "a") for k in range(250, 280)]
+    spark.createDataFrame([(1, fill())], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.drop_leaks(spark, corpus.frame(spark, rows).repartition(3), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(250, 280))
+
+
 def test_rows_reach_python_workers_in_small_batches(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES[:1]:
         stage(spark, corpus.odd(spark), sf_dir)
